@@ -33,9 +33,15 @@ def star_join(star, fact=None):
     )
 
 
-def latest_facts(star):
-    """Star join of the latest fact date only; the filter runs before the joins."""
-    return star_join(star, at_latest(star.fact, "date_key"))
+def latest_facts(star, latest=None):
+    """Star join of the latest fact date only; the filter runs before the joins.
+
+    ``latest`` is the date key where the caller knows it (from the partition folders), which
+    prunes partitions while planning; otherwise a scalar subquery finds it.
+    """
+    if latest is None:
+        return star_join(star, at_latest(star.fact, "date_key"))
+    return star_join(star, star.fact.where(F.col("date_key") == latest))
 
 
 def with_forecast(facts, forecast):

@@ -11,7 +11,7 @@ from shelfline.sources.files import export_marts, read_incoming
 def load_history(warehouse, raw):
     """First load of an empty warehouse."""
     warehouse.append_raw(raw, "history")
-    raw = warehouse.read("raw/inventory_dump")
+    raw = warehouse.raw_batch("history")
     warehouse.replace("dwh/dim_product", loads.history_products(raw))
     warehouse.replace("dwh/dim_store", loads.history_stores(raw))
     warehouse.replace("dwh/dim_date", loads.history_dates(raw))
@@ -32,8 +32,8 @@ def load_batch(warehouse, batch):
 def run_daily(spark, warehouse, incoming, batch_id, export_folder=None, latest_only=True):
     """Raw load, transforms, mart views and export; nothing happens without incoming rows.
 
-    ``latest_only`` loads the newest date alone; otherwise every date not loaded yet is taken.
-    Returns the number of raw rows per target, or None if there was no file.
+    Only the new batch is read, not all of raw. ``latest_only`` loads its newest date alone, and
+    only if no newer date has been loaded before; otherwise all its dates are loaded. Returns the number of raw rows per target, or None if there was no file.
     """
     inventory, forecast = read_incoming(spark, incoming)
     if inventory.isEmpty() and forecast.isEmpty():
@@ -45,16 +45,16 @@ def run_daily(spark, warehouse, incoming, batch_id, export_folder=None, latest_o
         counted, seen = observe_rows(loads.newest_snapshot(forecast), "demand_forecast_7d")
         warehouse.replace("raw/demand_forecast_7d", counted)
         counts["demand_forecast_7d"] = seen.get["rows"]
-    raw = warehouse.read("raw/inventory_dump")
+    batch = warehouse.raw_batch(batch_id)
     if latest_only:
-        batch = loads.latest_batch(raw)
-    else:
-        batch = loads.unloaded_batches(raw, warehouse.read("dwh/fct_inventory_daily"))
+        newest_loaded = max(warehouse.fact_dates(), default=None)
+        batch = loads.not_older_than(loads.latest_batch(batch), newest_loaded)
     load_batch(warehouse, batch)
     warehouse.replace(
         "dwh/demand_forecast_7d", loads.typed_forecast(warehouse.read("raw/demand_forecast_7d"))
     )
-    marts = reporting_marts(warehouse.star(), warehouse.forecast())
+    latest = max(warehouse.fact_dates(), default=None)
+    marts = reporting_marts(warehouse.star(), warehouse.forecast(), latest)
     define_views(marts)
     if export_folder is not None:
         export_marts(marts, os.path.join(export_folder, batch_id), EXPORT_ORDER)

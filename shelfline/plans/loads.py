@@ -25,10 +25,11 @@ def latest_batch(raw):
     return at_latest(with_dates(raw), "full_date").drop("full_date")
 
 
-def unloaded_batches(raw, fact):
-    """Rows of every date that the fact does not hold yet, late dates included."""
-    dated = raw.withColumn("date_key", date_key(parse_short_date(F.col("Date"))))
-    return insert_if_absent(fact, dated, ["date_key"]).select(*raw.columns)
+def not_older_than(raw, newest_loaded):
+    """Rows dated on or after an already loaded date key; all rows if there is none."""
+    if newest_loaded is None:
+        return raw
+    return raw.where(date_key(parse_short_date(F.col("Date"))) >= newest_loaded)
 
 
 def store_members(raw):

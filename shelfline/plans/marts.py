@@ -9,7 +9,6 @@ from shelfline.functions.arithmetic import (
     rounded_ratio,
     units_deviation,
     whole_division,
-    zero_to_null,
 )
 from shelfline.functions.cleaning import trimmed
 from shelfline.functions.rules import accuracy_flag, health_status, recommended_action, severity_level
@@ -71,13 +70,13 @@ def inventory_turnover_monthly(star, exact=False, unique_days=True):
     )
 
 
-def demand_outlook(star, forecast):
+def demand_outlook(star, forecast, latest=None):
     """Cumulative forecast demand against effective inventory on the latest fact date.
 
     The windows run on the forecast before the join. A SKU has one fact row per date, so the
     numbers are the same as after the join and the joined rows keep the windows' partitioning.
     """
-    facts = latest_facts(star).select(
+    facts = latest_facts(star, latest).select(
         "full_date",
         "store_id",
         "region",
@@ -127,7 +126,7 @@ def days_of_supply_candidate():
     )
 
 
-def sku_outlook(star, forecast):
+def sku_outlook(star, forecast, latest=None):
     """One row per SKU of the latest date: stock, days of supply and demand milestones.
 
     Grouping keys start with the window's partitioning keys, so no further shuffle occurs and
@@ -139,7 +138,7 @@ def sku_outlook(star, forecast):
         return F.max(F.when(_contains_row(row_number), F.col("running_total")))
 
     return (
-        demand_outlook(star, forecast)
+        demand_outlook(star, forecast, latest)
         .groupBy(
             *SKU,
             "full_date",
@@ -176,9 +175,9 @@ def with_alerts(skus):
     )
 
 
-def inventory_health(star, forecast):
+def inventory_health(star, forecast, latest=None):
     """Stock status, recommended action and severity per SKU on the latest fact date."""
-    return with_alerts(sku_outlook(star, forecast)).select(
+    return with_alerts(sku_outlook(star, forecast, latest)).select(
         "full_date",
         "store_id",
         "region",
@@ -220,12 +219,12 @@ def next_7d_demand(forecast):
     return forecast.withColumns(texts)
 
 
-def reporting_marts(star, forecast):
+def reporting_marts(star, forecast, latest=None):
     """All marts by the name they are exported under."""
     return {
         "inventory_daily_snapshot": inventory_daily_snapshot(star),
         "inventory_turnover_monthly": inventory_turnover_monthly(star),
-        "inventory_health": inventory_health(star, forecast),
+        "inventory_health": inventory_health(star, forecast, latest),
         "forecast_deviation": forecast_deviation(star),
         "next_7d_demand": next_7d_demand(forecast),
     }

@@ -14,12 +14,10 @@ DEFAULT_SCORING_ROW = (500.0, 29.99, 10.0, "Yes", "Sunny", "Summer")
 
 
 def _read(spark, path, schema):
-    # "" stays an empty text: only a missing forecast number turns it into NULL later
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("recursiveFileLookup", True)
-        .option("emptyValue", "")
         .option("mode", "FAILFAST")
         .csv(path)
     )
@@ -66,7 +64,7 @@ def incoming_batches(spark, folder):
 
 
 def write_csv(df, path, mode="errorifexists"):
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode(mode).option("header", True).csv(path)
     return path
 
 

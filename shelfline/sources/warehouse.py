@@ -9,6 +9,7 @@ are written per batch folder or per date partition.
 import os
 
 from shelfline import schemas
+from shelfline.operators.joins import Star
 
 SCHEMAS = {
     "raw/inventory_dump": schemas.RAW_INVENTORY,
@@ -31,38 +32,49 @@ class Warehouse:
     def path(self, table, *parts):
         return os.path.join(self.root, table, *parts)
 
-    def _folders(self, path):
-        """Names of the sub-folders whose write was committed."""
+    def _list(self, path, *inside):
+        """Names of the sub-folders that contain the ``inside`` entry, oldest first."""
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         if not fs.exists(folder):
             return []
+        statuses = [status for status in fs.listStatus(folder) if status.isDirectory()]
         return sorted(
             status.getPath().getName()
-            for status in fs.listStatus(folder)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+            for status in statuses
+            if all(fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), name)) for name in inside)
         )
 
-    def _read(self, table, paths, base=None):
+    def _committed(self, table):
+        return self._list(self.path(table), "_SUCCESS")
+
+    def _load(self, table, paths):
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[table])
-        reader = self.spark.read.schema(SCHEMAS[table])
-        return (reader.option("basePath", base) if base else reader).parquet(*paths)
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
 
     def read(self, table):
         """Current rows of a table; empty if it was never written."""
-        folders = self._folders(self.path(table))
-        if table == RAW_INVENTORY_TABLE:
-            return self._read(table, [self.path(table, name) for name in folders])
         if table == FACT_TABLE:
-            written = self._folders(self.path("dwh")).count(os.path.basename(FACT_TABLE))
-            return self._read(table, [self.path(table)] if written else [])
-        return self._read(table, [self.path(table, folders[-1])] if folders else [])
+            return self._load(table, [self.path(table)] if self.fact_dates() else [])
+        folders = self._committed(table)
+        if table != RAW_INVENTORY_TABLE:
+            folders = folders[-1:]
+        return self._load(table, [self.path(table, name) for name in folders])
+
+    def raw_batch(self, batch):
+        return self._load(RAW_INVENTORY_TABLE, [self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")])
+
+    def fact_dates(self):
+        """Date keys of the fact, from its partition folders: no file is opened."""
+        prefix = "date_key="
+        names = self._list(self.path(FACT_TABLE))
+        return [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
 
     def replace(self, table, df):
         """Write a new version of a table; the old one stays readable meanwhile."""
-        folders = self._folders(self.path(table))
+        folders = self._committed(table)
         version = int(folders[-1][1:]) + 1 if folders else 1
         columns = SCHEMAS[table].fieldNames()
         df.select(*columns).write.mode("overwrite").parquet(self.path(table, f"v{version:08d}"))
@@ -86,8 +98,6 @@ class Warehouse:
         ).parquet(self.path(FACT_TABLE))
 
     def star(self):
-        from shelfline.operators.joins import Star
-
         return Star(*[self.read(f"dwh/{name}") for name in (
             "fct_inventory_daily", "dim_date", "dim_store", "dim_product"
         )])
