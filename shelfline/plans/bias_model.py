@@ -149,18 +149,20 @@ def accuracy(pairs, *by, actual=LABEL, predicted=PREDICTED):
 
 def class_report(pairs, actual=LABEL, predicted=PREDICTED):
     """Precision, recall, F1 and support per label, from the counts of label pairs."""
-    counts = pairs.groupBy(actual, predicted).agg(F.count("*").alias("n"))
-    as_actual = F.struct(F.col(actual).alias("label"), F.col("n").alias("support"), F.lit(0).alias("predicted"))
-    as_predicted = F.struct(F.col(predicted).alias("label"), F.lit(0).alias("support"), F.col("n").alias("predicted"))
-    hit = F.when(F.col(actual) == F.col(predicted), F.col("n")).otherwise(0)
-    sides = counts.select(
-        F.explode(F.array(F.struct(as_actual.alias("side"), hit.alias("hits")),
-                          F.struct(as_predicted.alias("side"), F.lit(0).cast("long").alias("hits")))).alias("v")
-    )
-    totals = sides.groupBy(F.col("v.side.label").alias("label")).agg(
-        F.sum("v.hits").alias("hits"),
-        F.sum("v.side.support").alias("support"),
-        F.sum("v.side.predicted").alias("predicted"),
+    n, none = F.col("n"), F.lit(0).cast("long")
+    hit = F.when(F.col(actual) == F.col(predicted), n).otherwise(none)
+
+    def entry(label, support, predicted_rows, hits):
+        names = ["label", "support", "predicted", "hits"]
+        values = [F.col(label), support, predicted_rows, hits]
+        return F.struct(*[value.alias(name) for name, value in zip(names, values)])
+
+    totals = (
+        pairs.groupBy(actual, predicted)
+        .agg(F.count("*").alias("n"))
+        .select(F.inline(F.array(entry(actual, n, none, hit), entry(predicted, none, n, none))))
+        .groupBy("label")
+        .agg(*[F.sum(name).alias(name) for name in ("support", "predicted", "hits")])
     )
     hits, support, predicted_rows = F.col("hits"), F.col("support"), F.col("predicted")
     return totals.select(

@@ -8,12 +8,29 @@ from shelfline.operators.aggregates import first_wins, unique_members
 from shelfline.operators.filters import at_latest, with_key
 from shelfline.operators.joins import insert_if_absent, lookup_keys, upsert_members
 from shelfline.operators.keys import assign_keys
-from shelfline.schemas import FACT, FACT_KEY
+from shelfline.schemas import FACT, FACT_KEY, FORECAST
 
 # Member states. The first load spells the product state in lower case.
 HISTORY_PRODUCT_STATUS = "active"
 ACTIVE, INACTIVE = "Active", "Inactive"
 
+# Warehouse names of the forecast file's columns.
+FORECAST_NAMES = {
+    "Forecasted On": "forecasted_on",
+    "Date": "full_date",
+    "Store ID": "store_id",
+    "Product ID": "product_id",
+    "Category": "category",
+    "Region": "region",
+    "Price": "selling_price",
+    "Discount": "discount_applied",
+    "Weather Condition": "weather_condition",
+    "Holiday/Promotion": "is_promotion_active",
+    "Competitor Pricing": "competitor_price",
+    "Seasonality": "season",
+    "Demand Forecast": "demand_forecast",
+}
+
 
 def with_dates(raw):
     """Raw inventory with its parsed date."""
@@ -156,21 +173,12 @@ def new_facts(fact, batch, dim_store, dim_product):
 
 def typed_forecast(raw):
     """Forecast text to the typed snapshot; empty numbers become NULL."""
-    return raw.select(
-        parse_short_date(F.col("Forecasted On")).alias("forecasted_on"),
-        parse_short_date(F.col("Date")).alias("full_date"),
-        F.col("Store ID").alias("store_id"),
-        F.col("Product ID").alias("product_id"),
-        F.col("Category").alias("category"),
-        F.col("Region").alias("region"),
-        to_money_or_null(F.col("Price")).alias("selling_price"),
-        to_money_or_null(F.col("Discount")).alias("discount_applied"),
-        F.col("Weather Condition").alias("weather_condition"),
-        is_one(F.col("Holiday/Promotion")).alias("is_promotion_active"),
-        to_money_or_null(F.col("Competitor Pricing")).alias("competitor_price"),
-        F.col("Seasonality").alias("season"),
-        to_money_or_null(F.col("Demand Forecast")).alias("demand_forecast"),
-    )
+    renamed = raw.withColumnsRenamed(FORECAST_NAMES)
+    dates = {name: parse_short_date(F.col(name)) for name in ("forecasted_on", "full_date")}
+    money = ("selling_price", "discount_applied", "competitor_price", "demand_forecast")
+    amounts = {name: to_money_or_null(F.col(name)) for name in money}
+    promotion = {"is_promotion_active": is_one(F.col("is_promotion_active"))}
+    return renamed.withColumns({**dates, **amounts, **promotion}).select(*FORECAST.fieldNames())
 
 
 def newest_snapshot(raw_forecast):
