@@ -14,7 +14,24 @@ from shelfline.schemas import FACT, FACT_KEY, FORECAST
 HISTORY_PRODUCT_STATUS = "active"
 ACTIVE, INACTIVE = "Active", "Inactive"
 
-# Warehouse names of the forecast file's columns.
+# Warehouse names of the input files' columns.
+INVENTORY_NAMES = {
+    "Date": "full_date",
+    "Store ID": "store_id",
+    "Product ID": "product_id",
+    "Category": "category",
+    "Region": "region",
+    "Inventory Level": "inventory_level",
+    "Units Sold": "units_sold",
+    "Units Ordered": "units_ordered",
+    "Demand Forecast": "demand_forecast",
+    "Price": "selling_price",
+    "Discount": "discount_applied",
+    "Weather Condition": "weather_condition",
+    "Holiday/Promotion": "is_promotion_active",
+    "Competitor Pricing": "competitor_price",
+    "Seasonality": "season",
+}
 FORECAST_NAMES = {
     "Forecasted On": "forecasted_on",
     "Date": "full_date",
@@ -31,6 +48,8 @@ FORECAST_NAMES = {
     "Demand Forecast": "demand_forecast",
 }
 
+KEYED = ["store_key", "product_key"]
+
 
 def with_dates(raw):
     """Raw inventory with its parsed date."""
@@ -81,19 +100,15 @@ def date_rows(dates, padded=False):
 
 def typed_facts(raw):
     """Raw text to typed measures under their warehouse names, natural keys kept."""
-    return raw.select(
-        date_key(parse_short_date(F.col("Date"))).alias("date_key"),
-        F.col("Store ID").alias("store_id"),
-        F.col("Product ID").alias("product_id"),
-        to_count(F.col("Inventory Level")).alias("inventory_level"),
-        to_count(F.col("Units Sold")).alias("units_sold"),
-        to_count(F.col("Units Ordered")).alias("units_ordered"),
-        to_money(F.col("Demand Forecast")).alias("demand_forecast"),
-        to_money(F.col("Price")).alias("selling_price"),
-        to_money(F.col("Discount")).alias("discount_applied"),
-        to_money(F.col("Competitor Pricing")).alias("competitor_price"),
-        F.col("Weather Condition").alias("weather_condition"),
-        is_one(F.col("Holiday/Promotion")).alias("is_promotion_active"),
+    counts = ("inventory_level", "units_sold", "units_ordered")
+    money = ("demand_forecast", "selling_price", "discount_applied", "competitor_price")
+    return (
+        raw.withColumnsRenamed(INVENTORY_NAMES)
+        .withColumns({name: to_count(F.col(name)) for name in counts})
+        .withColumns({name: to_money(F.col(name)) for name in money})
+        .withColumn("is_promotion_active", is_one(F.col("is_promotion_active")))
+        .withColumn("date_key", date_key(parse_short_date(F.col("full_date"))))
+        .select("store_id", "product_id", *[name for name in FACT.fieldNames() if name not in KEYED])
     )
 
 

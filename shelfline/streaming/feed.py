@@ -28,8 +28,9 @@ def read_feed(spark, folder, archive=None, files_per_batch=None):
 def first_per_key(feed, lateness="7 days"):
     """One row per date, store and product within the allowed lateness.
 
-    State is dropped once the watermark passes a date; rows that come even later are kept out
-    by the key check of the fact load.
+    State is dropped once the watermark passes a date, and Spark then discards later rows of
+    that date. Feeds without such a bound go straight to :func:`load_feed`, which keeps rows of
+    any age: its key check against the fact makes the first row win without any state.
     """
     event_time = parse_short_date(F.col("Date")).cast("timestamp")
     return (
