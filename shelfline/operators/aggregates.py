@@ -21,21 +21,20 @@ def first_wins(rows, keys):
 
 
 def unique_members(rows, key, attribute):
-    """One row per key; raises where a key carries two attribute values or none."""
-    values = F.min(attribute), F.max(attribute), F.count(attribute), F.count("*")
-    low, high, known, total = values
-    conflict = F.raise_error(F.concat(F.lit(f"{key} has no single {attribute}: "), F.col(key)))
+    """One row per key; raises where a key carries two attribute values or none.
+
+    The distinct pairs are formed first: that step hashes and combines on the map side, so
+    only members, not rows, reach the check.
+    """
+    pairs = rows.select(key, attribute).distinct()
+    clash = F.raise_error(
+        F.concat(F.lit(f"{key} has no single {attribute}: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    ).cast("string")
+    single = F.col(key).isNotNull() & F.col(attribute).isNotNull() & (F.col("_values") == 1)
     return (
-        rows.groupBy(key)
-        .agg(low.alias(attribute), high.alias("_high"), known.alias("_known"), total.alias("_total"))
-        .withColumn(
-            attribute,
-            F.when(
-                (F.col(attribute) == F.col("_high")) & (F.col("_known") == F.col("_total")),
-                F.col(attribute),
-            ).otherwise(conflict.cast("string")),
-        )
-        .select(key, attribute)
+        pairs.groupBy(key)
+        .agg(F.min(attribute).alias(attribute), F.count("*").alias("_values"))
+        .select(key, F.when(single, F.col(attribute)).otherwise(clash).alias(attribute))
     )
 
 

@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from shelfline.operators.windows import SKU, is_short, running_demand
+
 
 def _stack_counts(df, checks):
     """One pass over the table: a row per named condition with its number of violations."""
@@ -34,8 +36,6 @@ def orphans(df, key, dimension):
 
 def lost_skus(facts, forecast, horizon=7):
     """SKUs that the stock-health mart drops: no forecast, or never short on a short horizon."""
-    from shelfline.operators.windows import SKU, is_short, running_demand
-
     demand = running_demand(forecast).select(*SKU, "running_total", "last_rn")
     on_hand = facts.select(
         *SKU, (F.col("inventory_level") + F.col("units_ordered")).alias("effective_inventory")
@@ -67,10 +67,24 @@ def observe_rows(df, step):
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def require_none(df, message):
-    """Stop a load when a check has found anything."""
-    if not df.isEmpty():
-        raise ValueError(message)
+def enforced(df, required=(), max_lengths=None):
+    """The same rows; writing them fails on a NULL in a required column or an overlong text.
+
+    The tests run inside the write itself, so they cost no pass of their own.
+    """
+
+    def guarded(name):
+        column = F.col(name)
+        if name in required:
+            missing = F.raise_error(F.lit(f"{name} must not be NULL")).cast(df.schema[name].dataType)
+            column = F.coalesce(column, missing)
+        limit = (max_lengths or {}).get(name)
+        if limit is not None:
+            too_long = F.raise_error(F.lit(f"{name} is longer than {limit}")).cast("string")
+            column = F.when(F.length(column) > limit, too_long).otherwise(column)
+        return column.alias(name)
+
+    return df.select(*[guarded(name) for name in df.columns])
 
 
 def all_violations(checks):

@@ -127,12 +127,7 @@ def history_stores(raw):
 
 def history_dates(raw, padded=False):
     """Raises where one date carries two seasons."""
-    seasons = unique_members(
-        observed_dates(raw).withColumn("full_date", F.col("full_date").cast("string")),
-        "full_date",
-        "season",
-    )
-    return date_rows(seasons.withColumn("full_date", F.col("full_date").cast("date")), padded)
+    return date_rows(unique_members(observed_dates(raw), "full_date", "season"), padded)
 
 
 def history_facts(raw, dim_store, dim_product):
@@ -162,7 +157,7 @@ def sync_products(dim_product, batch):
 
 def sync_dates(dim_date, batch, padded=False):
     """Existing dates stay; new ones take the first season seen."""
-    seasons = first_wins(observed_dates(batch), ["full_date"])
+    seasons = first_wins(observed_dates(batch).distinct(), ["full_date"])
     fresh = insert_if_absent(dim_date, date_rows(seasons, padded), ["date_key"])
     return dim_date.unionByName(fresh.select(*dim_date.columns))
 

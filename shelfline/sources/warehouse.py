@@ -10,6 +10,7 @@ import os
 
 from shelfline import schemas
 from shelfline.operators.joins import Star
+from shelfline.operators.quality import enforced
 
 SCHEMAS = {
     "raw/inventory_dump": schemas.RAW_INVENTORY,
@@ -72,19 +73,25 @@ class Warehouse:
         names = self._list(self.path(FACT_TABLE))
         return [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
 
+    def _checked(self, table, df):
+        """The table's columns under its NOT NULL and length constraints."""
+        layer, name = table.split("/")
+        rows = df.select(*SCHEMAS[table].fieldNames())
+        if layer == "raw":
+            return rows
+        return enforced(rows, schemas.REQUIRED.get(name, ()), schemas.MAX_LENGTHS.get(name))
+
     def replace(self, table, df):
         """Write a new version of a table; the old one stays readable meanwhile."""
         folders = self._committed(table)
         version = int(folders[-1][1:]) + 1 if folders else 1
-        columns = SCHEMAS[table].fieldNames()
-        df.select(*columns).write.mode("overwrite").parquet(self.path(table, f"v{version:08d}"))
+        path = self.path(table, f"v{version:08d}")
+        self._checked(table, df).write.mode("overwrite").parquet(path)
 
     def append_raw(self, df, batch):
         """Add one batch of raw inventory; writing the same batch again replaces it."""
-        columns = SCHEMAS[RAW_INVENTORY_TABLE].fieldNames()
-        df.select(*columns).write.mode("overwrite").parquet(
-            self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")
-        )
+        path = self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")
+        self._checked(RAW_INVENTORY_TABLE, df).write.mode("overwrite").parquet(path)
 
     def append_fact(self, df):
         """Add new facts, partitioned by date.
@@ -92,15 +99,12 @@ class Warehouse:
         The rebalance hint lets AQE size the files: a small batch becomes one file per date,
         a date that holds most of the rows is split over many tasks.
         """
-        columns = SCHEMAS[FACT_TABLE].fieldNames()
-        df.select(*columns).hint("rebalance", "date_key").write.mode("append").partitionBy(
-            "date_key"
-        ).parquet(self.path(FACT_TABLE))
+        facts = self._checked(FACT_TABLE, df).hint("rebalance", "date_key")
+        facts.write.mode("append").partitionBy("date_key").parquet(self.path(FACT_TABLE))
 
     def star(self):
-        return Star(*[self.read(f"dwh/{name}") for name in (
-            "fct_inventory_daily", "dim_date", "dim_store", "dim_product"
-        )])
+        names = ("fct_inventory_daily", "dim_date", "dim_store", "dim_product")
+        return Star(*[self.read(f"dwh/{name}") for name in names])
 
     def forecast(self):
         return self.read("dwh/demand_forecast_7d")
