@@ -1,5 +1,6 @@
 """Aggregations; all combine on the map side, so a hot key costs no extra shuffle."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import zero_to_null
@@ -91,6 +92,40 @@ def breakdown(df, by, *aggregates):
     return df.groupBy(by).agg(*aggregates)
 
 
+def quantile_cuts(df, value, shares):
+    """One row with the exact quantiles ``cut_0, cut_1, ...`` of a decimal column.
+
+    Rows are counted per distinct value, and those counts per whole number. Running counts over
+    the whole numbers tell which one holds each quantile; only the distinct values of that
+    whole number (at most 10 to the power of the column's scale) are then ordered.
+    """
+    known = df.where(F.col(value).isNotNull())
+    values = known.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    values = values.withColumn("whole", F.floor("v").cast("long"))
+    in_order = Window.orderBy("whole").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wholes = values.groupBy("whole").agg(F.sum("n").alias("whole_n"))
+    reached = wholes.select("whole", "whole_n", F.sum("whole_n").over(in_order).alias("until"))
+    targets = F.array(
+        *[F.struct(F.lit(i).alias("cut"), F.lit(share).alias("share")) for i, share in enumerate(shares)]
+    )
+    rank = F.col("share") * reached.agg(F.max("until")).scalar()
+    holding = (
+        reached.select("*", F.inline(targets))
+        .withColumn("rank", rank)
+        .withColumn("before", F.col("until") - F.col("whole_n"))
+        .where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("until")))
+        .select("whole", "cut", "rank", "before")
+    )
+    by_value = (
+        Window.partitionBy("cut").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = values.join(holding, "whole").withColumn("upto", F.col("before") + F.sum("n").over(by_value))
+    picked = ranked.where(F.col("upto") >= F.col("rank"))
+    return picked.agg(
+        *[F.min(F.when(F.col("cut") == i, F.col("v"))).alias(f"cut_{i}") for i in range(len(shares))]
+    )
+
+
 def count_matrix(pairs, actual, predicted, labels):
     """Counts of predicted labels (columns) per actual label (rows)."""
     return pairs.groupBy(actual).pivot(predicted, list(labels)).count().na.fill(0)

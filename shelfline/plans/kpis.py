@@ -4,7 +4,14 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import at_least_zero, rounded_ratio, zero_to_null
 from shelfline.functions.rules import FOUR_DAYS, TWO_DAYS
-from shelfline.operators.aggregates import breakdown, drill_down, frequency, share_below, sum_where
+from shelfline.operators.aggregates import (
+    breakdown,
+    drill_down,
+    frequency,
+    quantile_cuts,
+    share_below,
+    sum_where,
+)
 from shelfline.operators.filters import dashboard_filter
 from shelfline.operators.joins import latest_facts
 from shelfline.plans.marts import sku_outlook, with_alerts
@@ -152,16 +159,10 @@ def turnover_matrix(turnover, stores):
     return turnover.groupBy("product_id").pivot("store_id", list(stores)).agg(F.max("turnover"))
 
 
-def mover_segments(turnover, slow=0.25, fast=0.75, accuracy=10000):
-    """Fast, medium and slow movers by turnover quantiles.
-
-    The quantiles come from a mergeable sketch with rank error 1/accuracy, so no task sees all
-    SKUs; the two cut-offs are read back as scalar subqueries.
-    """
-    cuts = turnover.agg(
-        F.percentile_approx("turnover", [slow, fast], accuracy).alias("cuts")
-    )
-    low, high = cuts.select(F.col("cuts")[0]).scalar(), cuts.select(F.col("cuts")[1]).scalar()
+def mover_segments(turnover, slow=0.25, fast=0.75):
+    """Fast, medium and slow movers by exact turnover quantiles."""
+    cuts = quantile_cuts(turnover, "turnover", [slow, fast]).select(F.struct("cut_0", "cut_1")).scalar()
+    low, high = cuts["cut_0"], cuts["cut_1"]
     value = F.col("turnover")
     return turnover.withColumn(
         "segment",
