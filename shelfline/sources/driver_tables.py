@@ -24,8 +24,20 @@ FACT_DAYS = 28
 WEATHER = ["Sunny", "Rainy", "Cloudy", "Snowy"]
 
 
+# Columns used here, by table; stated so that no job has to read file footers for them.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "part": "p_partkey long, p_name string, p_type string",
+    "orders": "o_orderkey long, o_orderstatus string, o_orderpriority string",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz""",
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def product_number(partkey):
@@ -37,7 +49,9 @@ def store_id(nationkey):
 
 
 def product_id(number):
-    return F.format_string("P%04d", number)
+    """'P' and at least four digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit("P"), F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0")))
 
 
 def category(number):
@@ -71,7 +85,8 @@ def _ship_day(folded):
 
 def inventory(spark, sf_dir, folded=False):
     """Daily position per store and product with all natural-key columns (flat)."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    # amounts have two places, so adding a half and cutting is exact and stays in double arithmetic
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     quantity = F.col("l_quantity").cast("long")
     lines = table(spark, sf_dir, "lineitem").select(
         _ship_day(folded).alias("full_date"),
@@ -82,7 +97,7 @@ def inventory(spark, sf_dir, folded=False):
         (F.col("l_orderkey") % 90).alias("ordered"),
         (quantity * (80 + F.col("l_orderkey") % 41)).alias("demand_cents"),
         F.call_function("div", cents, quantity).alias("price_cents"),
-        F.round(F.col("l_discount") * 100).cast("long").alias("discount"),
+        F.floor(F.col("l_discount") * 100 + 0.5).alias("discount"),
         (F.col("l_returnflag") == "R").alias("promotion"),
         (F.col("l_suppkey") % len(WEATHER)).alias("weather"),
     )

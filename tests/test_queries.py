@@ -23,7 +23,7 @@ COMPARED = [
     "q5_lost_skus",
 ]
 # Queries that write or fit first; their plans only read back what was written.
-EAGER = ("a", "l", "w10", "w12", "q6", "st")
+EAGER = ("a", "l", "w5", "w10", "w12", "q6", "st")
 
 
 @pytest.fixture(scope="module")
