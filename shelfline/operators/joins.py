@@ -54,6 +54,12 @@ def insert_if_absent(target, rows, keys):
     return rows.join(target.select(*keys), keys, "left_anti")
 
 
+def member_changes(target, members, natural_key, status, inactive):
+    """Batch members that are new, or known but inactive; empty if the target may stay as it is."""
+    unchanged = target.where(F.coalesce(F.col(status) != inactive, F.lit(True)))
+    return insert_if_absent(unchanged, members, [natural_key])
+
+
 def upsert_members(target, members, natural_key, surrogate_key, status, active, inactive):
     """New members get a key; members marked inactive become active; others stay as they are."""
     seen = members.select(natural_key, F.lit(True).alias("_seen"))

@@ -20,11 +20,17 @@ def load_history(warehouse, raw):
 
 
 def load_batch(warehouse, batch):
-    """Dimensions and fact for one batch of raw rows; loading it again changes nothing."""
+    """Dimensions and fact for one batch of raw rows; loading it again changes nothing.
+
+    A dimension is written only if the batch brings new or reactivated members.
+    """
     star = warehouse.star()
-    warehouse.replace("dwh/dim_store", loads.sync_stores(star.dim_store, batch))
-    warehouse.replace("dwh/dim_product", loads.sync_products(star.dim_product, batch))
-    warehouse.replace("dwh/dim_date", loads.sync_dates(star.dim_date, batch))
+    if not loads.changed_stores(star.dim_store, batch).isEmpty():
+        warehouse.replace("dwh/dim_store", loads.sync_stores(star.dim_store, batch))
+    if not loads.changed_products(star.dim_product, batch).isEmpty():
+        warehouse.replace("dwh/dim_product", loads.sync_products(star.dim_product, batch))
+    if not loads.new_dates(star.dim_date, batch).isEmpty():
+        warehouse.replace("dwh/dim_date", loads.sync_dates(star.dim_date, batch))
     star = warehouse.star()
     warehouse.append_fact(loads.new_facts(star.fact, batch, star.dim_store, star.dim_product))
 

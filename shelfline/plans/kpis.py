@@ -80,15 +80,18 @@ def sku_turnover(snapshot):
     )
 
 
-def last_days(snapshot, days):
-    """Rows of the last ``days`` calendar days up to the newest one."""
-    newest = snapshot.agg(F.max("full_date")).scalar()
-    return snapshot.where(F.col("full_date") > F.date_sub(newest, days))
+def last_days(snapshot, days, newest=None):
+    """Rows of the last ``days`` calendar days up to the newest one (or a given ISO date)."""
+    if newest is None:
+        end = snapshot.agg(F.max("full_date")).scalar()
+    else:
+        end = F.lit(newest).cast("date")
+    return snapshot.where(F.col("full_date") > F.date_sub(end, days))
 
 
-def inventory_velocity(snapshot, days=30):
+def inventory_velocity(snapshot, days=30, newest=None):
     """Turnover weighted by units sold over the last days, and the average life on the shelf."""
-    skus = sku_turnover(last_days(snapshot, days))
+    skus = sku_turnover(last_days(snapshot, days, newest))
     units = F.sum(F.when(F.col("turnover").isNotNull(), F.col("units_sold")))
     weighted = F.sum(F.col("turnover") * F.col("units_sold"))
     turnover = F.round(

@@ -6,7 +6,7 @@ from shelfline.functions.casts import is_one, to_count, to_money, to_money_or_nu
 from shelfline.functions.dates import date_key, parse_short_date, weekday_name
 from shelfline.operators.aggregates import first_wins, unique_members
 from shelfline.operators.filters import at_latest, with_key
-from shelfline.operators.joins import insert_if_absent, lookup_keys, upsert_members
+from shelfline.operators.joins import insert_if_absent, lookup_keys, member_changes, upsert_members
 from shelfline.operators.keys import assign_keys
 from shelfline.schemas import FACT, FACT_KEY, FORECAST
 
@@ -139,27 +139,51 @@ def history_facts(raw, dim_store, dim_product):
 # Daily load
 
 
+def batch_stores(batch):
+    return store_members(with_key(batch, "Store ID")).withColumn("store_status", F.lit(ACTIVE))
+
+
+def batch_products(batch):
+    return product_members(with_key(batch, "Product ID")).withColumn("product_status", F.lit(ACTIVE))
+
+
 def sync_stores(dim_store, batch):
-    members = store_members(with_key(batch, "Store ID")).withColumn("store_status", F.lit(ACTIVE))
     return upsert_members(
-        dim_store, members, "store_id", "store_key", "store_status", ACTIVE, INACTIVE
+        dim_store, batch_stores(batch), "store_id", "store_key", "store_status", ACTIVE, INACTIVE
     )
 
 
 def sync_products(dim_product, batch):
-    members = product_members(with_key(batch, "Product ID")).withColumn(
-        "product_status", F.lit(ACTIVE)
-    )
     return upsert_members(
-        dim_product, members, "product_id", "product_key", "product_status", ACTIVE, INACTIVE
+        dim_product,
+        batch_products(batch),
+        "product_id",
+        "product_key",
+        "product_status",
+        ACTIVE,
+        INACTIVE,
     )
 
 
-def sync_dates(dim_date, batch, padded=False):
-    """Existing dates stay; new ones take the first season seen."""
+def changed_stores(dim_store, batch):
+    return member_changes(dim_store, batch_stores(batch), "store_id", "store_status", INACTIVE)
+
+
+def changed_products(dim_product, batch):
+    return member_changes(
+        dim_product, batch_products(batch), "product_id", "product_status", INACTIVE
+    )
+
+
+def new_dates(dim_date, batch, padded=False):
+    """Dates of the batch that are not known yet, with the first season seen."""
     seasons = first_wins(observed_dates(batch).distinct(), ["full_date"])
-    fresh = insert_if_absent(dim_date, date_rows(seasons, padded), ["date_key"])
-    return dim_date.unionByName(fresh.select(*dim_date.columns))
+    return insert_if_absent(dim_date, date_rows(seasons, padded), ["date_key"])
+
+
+def sync_dates(dim_date, batch, padded=False):
+    """Existing dates stay as they are; new ones are added."""
+    return dim_date.unionByName(new_dates(dim_date, batch, padded).select(*dim_date.columns))
 
 
 def touched_partitions(fact, rows):

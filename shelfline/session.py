@@ -26,6 +26,7 @@ def build_session(master=None, app_name="shelfline", **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
         **conf,
     }
     for key, value in settings.items():

@@ -33,11 +33,14 @@ class Warehouse:
     def path(self, table, *parts):
         return os.path.join(self.root, table, *parts)
 
+    def _hadoop_conf(self):
+        return self.spark._jsparkSession.sessionState().newHadoopConf()
+
     def _list(self, path, *inside):
         """Names of the sub-folders that contain the ``inside`` entry, oldest first."""
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs = folder.getFileSystem(self._hadoop_conf())
         if not fs.exists(folder):
             return []
         statuses = [status for status in fs.listStatus(folder) if status.isDirectory()]
@@ -88,6 +91,16 @@ class Warehouse:
         path = self.path(table, f"v{version:08d}")
         self._checked(table, df).write.mode("overwrite").parquet(path)
 
+    def expire(self, table, keep=2):
+        """Delete all but the newest committed versions of a table that is replaced as a whole.
+
+        Call it when no reader can still hold an older version.
+        """
+        jvm = self.spark._jvm
+        for version in self._committed(table)[:-keep]:
+            folder = jvm.org.apache.hadoop.fs.Path(self.path(table, version))
+            folder.getFileSystem(self._hadoop_conf()).delete(folder, True)
+
     def append_raw(self, df, batch):
         """Add one batch of raw inventory; writing the same batch again replaces it."""
         path = self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")

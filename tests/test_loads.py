@@ -115,6 +115,25 @@ def test_loading_a_batch_twice_changes_nothing(spark, warehouse):
     assert warehouse.fact_dates() == [20240308, 20240309]
 
 
+def test_dimensions_are_written_only_for_changes(spark, warehouse):
+    def versions(name):
+        return warehouse._committed(f"dwh/{name}")
+
+    batch = builders.raw(spark, builders.raw_row())
+    daily.load_batch(warehouse, batch)
+    daily.load_batch(warehouse, batch)
+    daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(day="10/3/24")))
+    assert (len(versions("dim_store")), len(versions("dim_product")), len(versions("dim_date"))) == (1, 1, 2)
+    inactive = warehouse.read("dwh/dim_store").withColumn("store_status", F.lit("Inactive"))
+    warehouse.replace("dwh/dim_store", inactive)
+    daily.load_batch(warehouse, batch)
+    assert warehouse.read("dwh/dim_store").first().store_status == "Active"
+    assert len(versions("dim_store")) == 3
+    warehouse.expire("dwh/dim_store", keep=1)
+    assert len(versions("dim_store")) == 1
+    assert warehouse.read("dwh/dim_store").first().store_status == "Active"
+
+
 def test_batch_reads_only_its_own_dates(spark, warehouse):
     for number in range(1, 5):
         daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(day=f"{number}/3/24")))
