@@ -5,9 +5,12 @@ from decimal import ROUND_HALF_UP, Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 import builders
-from shelfline.operators.quality import lost_skus
 from shelfline.operators.joins import latest_facts
+from shelfline.operators.quality import lost_skus
+from shelfline.operators.windows import running_demand
 from shelfline.plans import kpis, marts
 
 
@@ -150,3 +153,15 @@ def test_explicit_latest_date_gives_the_same_rows(spark, sf_dir):
     found = marts.inventory_health(built, forecast)
     given_date = marts.inventory_health(built, forecast, latest=19950128)
     assert sorted(found.collect()) == sorted(given_date.collect())
+
+
+def test_a_repeated_forecast_row_does_not_fill_the_window(spark):
+    star = builders.star(spark, [{"product": "P1", "stock": 900}, {"product": "P2", "stock": 25}])
+    rows = builders.forecast(spark, {"P1": [0.01] * 7, "P2": [10] * 7})
+    copies = F.when(F.col("product_id") == "P1", 20000).otherwise(1)
+    hot = rows.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).drop("copy")
+    assert running_demand(hot).count() == 14
+    dos = {row.product_id: row.dos for row in marts.sku_outlook(star, hot).collect()}
+    # Rows of one day share its running total of 200, so the seventh row is covered by 900:
+    # 7 + 7 * (900 - 200) / 200. The first short row comes 80000 rows later.
+    assert dos == {"P1": Decimal("31.50"), "P2": Decimal("2.50")}
