@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, line_dedup, secrets
+from shelfline.llm import bpe, exact_dedup, line_dedup, secrets, token_files
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -51,3 +51,14 @@ def op3_line_dedup(spark, sf_dir):
 @query("op10_secret_scan")
 def op10_secret_scan(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op4_bpe_round_trip")
+def op4_bpe_round_trip(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
+
+
+@query("op8_token_files")
+def op8_token_files(spark, sf_dir):
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), bpe.tokenizer_path(), end_id=2)
+    return token_files.read_token_files(manifest)
