@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, exact_dedup, line_dedup, secrets, token_files
+from shelfline.llm import bpe, exact_dedup, language_id, line_dedup, secrets, token_files
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -62,3 +62,9 @@ def op4_bpe_round_trip(spark, sf_dir):
 def op8_token_files(spark, sf_dir):
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), bpe.tokenizer_path(), end_id=2)
     return token_files.read_token_files(manifest)
+
+
+@query("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return language_id.identify(table(spark, sf_dir, "documents"), held_out=held_out)
