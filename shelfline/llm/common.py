@@ -48,6 +48,28 @@ def ascii_lower(column):
     return F.when(plain, F.lower(column)).otherwise(F.translate(column, upper, lower))
 
 
+def filter_place(place, words):
+    """Word number and four bits of the 64-bit hash in column ``place`` in a Bloom filter of ``words`` 64-bit words."""
+    bits = [f"shiftleft(1L, cast(shiftright({place}, {shift}) & 63 as int))" for shift in (0, 6, 12, 18)]
+    return F.expr(f"pmod(shiftright({place}, 24), {words}L)"), F.expr(" | ".join(bits))
+
+
+def sift(rows, key, wanted, words=1 << 19):
+    """Rows of ``rows`` whose long ``key`` may be among the keys of ``wanted``, without a shuffle.
+
+    A Bloom filter of the wanted keys, at most ``words`` rows of two longs (8 MB by default), is
+    broadcast. A fuller filter lets more rows pass; the join that follows decides.
+    """
+    word, mask = filter_place("__place", words)
+    bloom = stage(
+        wanted.select(F.xxhash64(key).alias("__place")).select(word.alias("__word"), mask.alias("__mask")).groupBy("__word").agg(F.bit_or("__mask").alias("__bits")),
+        "sieve",
+    )
+    marked = rows.withColumn("__place", F.xxhash64(key)).withColumns({"__word": word, "__mask": mask})
+    hit = F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask")
+    return marked.join(F.broadcast(bloom), "__word").where(hit).drop("__word", "__place", "__mask", "__bits")
+
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0x00000100000001B3 | 0x5851F42D00000000)
 
@@ -142,3 +164,51 @@ def byte_batches(rows, column, limit=8 << 20):
         piece = (np.cumsum(sizes) - sizes) // limit if len(sizes) else sizes
         for part in np.unique(piece):
             yield frame[piece == part].reset_index(drop=True)
+
+
+def runs_of(batches, key):
+    """Complete runs of equal ``key`` of a sorted partition, over batch borders, as pandas frames."""
+    import pandas as pd
+
+    rest = None
+    for frame in batches:
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        values = frame[key].to_numpy()
+        if not len(values):
+            continue
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        begin = 0
+        for end in cuts.tolist():
+            yield frame.iloc[begin:end]
+            begin = end
+        rest = frame.iloc[begin:].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
+def components(edges):
+    """(node, component) of all nodes of edges (a, b), the component being its smallest node.
+
+    Alternates the large-star and small-star steps of the published MapReduce algorithm. A node's
+    smallest neighbour is a map-side minimum joined back, so a node with very many neighbours is
+    never gathered in one place; each round's edges are a staged table, which ends the lineage.
+    """
+    both = edges.where("a <> b").select("a", "b")
+    now = stage(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    before = None
+    while True:
+        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        if state == before:
+            break
+        before = state
+        turned = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        smallest = turned.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        large = turned.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stage(large.unionByName(now.join(smallest, "a").select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = stage(small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
+    return now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    )

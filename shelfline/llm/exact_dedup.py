@@ -15,22 +15,16 @@ their names, ride along.
 
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ascii_lower, stage
+from shelfline.llm.common import ascii_lower, filter_place, stage
 
 FILTER_WORDS = 1 << 20  # 8 MB of bits; as rows of (word, bits) 16 MB
 
 
-def _fingerprint(text, filter_words):
-    """Struct of the text's SHA-256 with its word number and four bits in the filter."""
-    digest = F.sha2(text, 256)
-    bits = [f"shiftleft(1L, cast(shiftright(__place, {shift}) & 63 as int))" for shift in (0, 6, 12, 18)]
-    return digest, F.expr(f"pmod(shiftright(__place, 24), {filter_words}L)"), F.expr(" | ".join(bits))
-
-
 def with_fingerprint(docs, text_col, filter_words):
-    digest, word, mask = _fingerprint(ascii_lower(F.coalesce(text_col, F.lit(""))), filter_words)
+    """Adds the text's SHA-256 and its place in the filter."""
+    word, mask = filter_place("__place", filter_words)
     return (
-        docs.withColumn("__sha", digest)
+        docs.withColumn("__sha", F.sha2(ascii_lower(F.coalesce(text_col, F.lit(""))), 256))
         .withColumn("__place", F.xxhash64("__sha"))
         .withColumns({"__word": word, "__mask": mask})
         .drop("__place")

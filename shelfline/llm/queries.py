@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, exact_dedup, language_id, line_dedup, secrets, token_files
+from shelfline.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -68,3 +68,36 @@ def op8_token_files(spark, sf_dir):
 def op9_language_id(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     return language_id.identify(table(spark, sf_dir, "documents"), held_out=held_out)
+
+
+@query(
+    "op5_jaccard_join",
+    """
+    with recursive words as (
+        select doc_id, list_filter(string_split_regex(lower_ascii, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+        from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                       'abcdefghijklmnopqrstuvwxyz') as lower_ascii from documents)),
+    shingles as (
+        select distinct doc_id,
+               unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                      else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) end) as s
+        from words),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    links as (
+        select a.doc_id as x, b.doc_id as y
+        from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+        join sizes m on m.doc_id = a.doc_id join sizes o on o.doc_id = b.doc_id
+        group by a.doc_id, b.doc_id, m.n, o.n
+        having 100 * count(*) >= 80 * (m.n + o.n - count(*))),
+    edges as (select x, y from links union all select y, x from links),
+    reach as (
+        select doc_id, doc_id as r from documents
+        union
+        select reach.doc_id, edges.y from reach join edges on edges.x = reach.r)
+    select documents.doc_id, coalesce(n, 0) as n_shingles, component_id
+    from documents left join sizes using (doc_id)
+    join (select doc_id, min(r) as component_id from reach group by doc_id) using (doc_id)
+    """,
+)
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
