@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files
+from shelfline.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -101,3 +101,10 @@ def op9_language_id(spark, sf_dir):
 )
 def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    labels = toxicity.chain_labels(table(spark, sf_dir, "labels"))
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
+    return found.withColumn("toxic", F.col("p_toxic") > toxicity.THRESHOLD)
