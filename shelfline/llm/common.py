@@ -99,19 +99,22 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
+PUNCTUATED = _IS_SPACE.copy()  # spaces and ASCII punctuation
+PUNCTUATED[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
 
 
-def word_hashes(texts):
+def word_hashes(texts, gaps=_IS_SPACE):
     """Hashes of all words of some texts and where each text's words begin.
 
-    Words are runs of bytes other than the six ASCII spaces, A-Z lower-cased. Returns
+    Words are runs of bytes other than ``gaps``, the six ASCII spaces unless told otherwise, with
+    A-Z lower-cased. Returns
     ``(hashes uint64, offsets int64 of len(texts) + 1)``. None counts as empty.
     """
     raw = [b"" if text is None else text.encode("utf-8", "surrogatepass") for text in texts]
     joined = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
     ends = np.cumsum([len(part) + 1 for part in raw], dtype=np.int64)
-    space = _IS_SPACE[joined]
+    space = gaps[joined]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     starts, stops = edge[0::2], edge[1::2]
     if not len(starts):

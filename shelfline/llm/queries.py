@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files, toxicity
+from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -108,3 +108,8 @@ def op1_toxicity(spark, sf_dir):
     labels = toxicity.chain_labels(table(spark, sf_dir, "labels"))
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
     return found.withColumn("toxic", F.col("p_toxic") > toxicity.THRESHOLD)
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
