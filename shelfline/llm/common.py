@@ -54,11 +54,12 @@ def filter_place(place, words):
     return F.expr(f"pmod(shiftright({place}, 24), {words}L)"), F.expr(" | ".join(bits))
 
 
-def sift(rows, key, wanted, words=1 << 19):
+def sift(rows, key, wanted, words=1 << 19, keep_all=False):
     """Rows of ``rows`` whose long ``key`` may be among the keys of ``wanted``, without a shuffle.
 
     A Bloom filter of the wanted keys, at most ``words`` rows of two longs (8 MB by default), is
-    broadcast. A fuller filter lets more rows pass; the join that follows decides.
+    broadcast. A fuller filter lets more rows pass; the join that follows decides. With ``keep_all``
+    all rows come back, marked in ``__maybe``.
     """
     word, mask = filter_place("__place", words)
     bloom = stage(
@@ -67,7 +68,11 @@ def sift(rows, key, wanted, words=1 << 19):
     )
     marked = rows.withColumn("__place", F.xxhash64(key)).withColumns({"__word": word, "__mask": mask})
     hit = F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask")
-    return marked.join(F.broadcast(bloom), "__word").where(hit).drop("__word", "__place", "__mask", "__bits")
+    tools = ["__word", "__place", "__mask", "__bits"]
+    if keep_all:
+        probed = marked.join(F.broadcast(bloom), "__word", "left")
+        return probed.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop(*tools)
+    return marked.join(F.broadcast(bloom), "__word").where(hit).drop(*tools)
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

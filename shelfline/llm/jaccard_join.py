@@ -7,7 +7,7 @@
    The order puts tokens held by more than 0.1 % of all rows last, so that passages found
    everywhere do not bring everyone together. That list has a proven bound: the prefixes hold at
    most 1000 times the mean prefix length of such tokens.
-3. A first round looks only at the first three tokens, and links what it can. The second looks at
+3. A first round looks only at the first four tokens, and links what it can. The second looks at
    whole prefixes, but only at tokens that two different components share; so a large group of
    near copies, joined in round one, costs nothing more. Groups of over ``BLOCK`` classes are cut
    in blocks, and in round two pairs of blocks.
@@ -16,13 +16,15 @@
    into node pairs whose largest possible overlap reaches the threshold. Pairs that survive are
    compared exactly, but for those already in one component.
 
-Round two sends bitmaps first and the token sets only of classes that survive its traversal.
+Round two traverses three times: with bitmaps of two bits per token, for what survives with bitmaps
+of eight, and for what still survives with the token sets. Wide bitmaps and token sets are made anew
+from the texts that need them; no table holds all tokens.
 Tokens are 48 bits of a 64-bit hash; at 500 shingles a text a false match in a pair has a chance
 of 1e-9.
 
 Defined results: without words (null, empty) a set is empty and linked with nothing; a text of
 fewer than five words is one shingle; repeated rows share a class; a null id is ignored when the
-smallest id is chosen; an empty table gives an empty result.
+smallest id is chosen, and a set that no row with an id holds is linked with nothing; an empty table gives an empty result.
 """
 
 import numpy as np
@@ -34,7 +36,8 @@ from shelfline.llm.common import byte_batches, components, mix, runs_of, shingle
 K = 5
 PERCENT = 80
 BLOCK = 512
-FIRST_TOKENS = 3
+FIRST_TOKENS = 4
+WIDE = 8
 HOT_SHARE = 0.001
 HOT_LEAST = 64
 FAN_OUT = 8
@@ -53,9 +56,9 @@ def unpack(data):
     return wide.view(">u8").ravel().astype(np.uint64)
 
 
-def bitmap(tokens):
-    """Bits of the tokens in the power of two at or above twice their number, 64 at least."""
-    width = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+def bitmap(tokens, room=2):
+    """Bits of the tokens in the power of two at or above ``room`` times their number, 64 at least."""
+    width = max(64, 1 << int(room * len(tokens) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -67,63 +70,81 @@ def fold(bits, words):
     return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
-def sets_table(docs, id_col, text_col, k):
-    """Staged rows (doc_id, n, key, tokens, bits); ``key`` identifies a set, 0 for the empty one."""
+def token_sets(texts, k):
+    """Sizes, identifying keys (0 for the empty set) and sorted 48-bit tokens of texts."""
+    sets = shingle_sets(texts, k)
+    sizes = np.array([len(s) for s in sets], np.uint64)
+    sums = np.array([np.bitwise_xor.reduce(mix(s)) for s in sets], np.uint64)
+    return sizes.astype(np.int64), np.where(sizes > 0, mix(sums ^ sizes).view(np.int64), 0), [s >> np.uint64(16) for s in sets]
+
+
+def prefix_length(n, percent):
+    return n - -(-percent * n // 100) + 1
+
+
+def prefix(tokens, percent, hot=None):
+    """The first tokens of a set, enough for the threshold, with hot ones moved to the end."""
+    length = prefix_length(len(tokens), percent)
+    if hot is not None and len(hot):
+        late = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+        tokens = np.concatenate([tokens[~late], tokens[late]])
+    return tokens[:length]
+
+
+def sets_table(docs, id_col, text_col, k, percent):
+    """Staged rows (doc_id, n, key, bits, prefix) of every row; the prefix is in the order of tokens."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for frame in byte_batches(batches, "text", BATCH_CHARS):
-            sets = shingle_sets(frame["text"], k)
-            tokens = [s >> np.uint64(16) for s in sets]
-            sizes = np.array([len(s) for s in sets], np.uint64)
-            sums = np.array([np.bitwise_xor.reduce(mix(s)) for s in sets], np.uint64)
-            keys = np.where(sizes > 0, mix(sums ^ sizes).view(np.int64), 0)
+            sizes, keys, tokens = token_sets(frame["text"], k)
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
-                    "n": sizes.astype(np.int64),
+                    "n": sizes,
                     "key": keys,
-                    "tokens": [pack(t) for t in tokens],
                     "bits": [bitmap(t) if len(t) else b"" for t in tokens],
+                    "prefix": [pack(prefix(t, percent)) if len(t) else b"" for t in tokens],
                 }
             )
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return stage(slim.mapInPandas(run, f"doc_id {kind}, n long, key long, tokens binary, bits binary"), "shingle-sets")
+    return stage(slim.mapInPandas(run, f"doc_id {kind}, n long, key long, bits binary, prefix binary"), "shingle-sets")
 
 
-def prefix_length(n, percent):
-    return n - -(-percent * n // 100) + 1
+def contents(docs, wanted, id_col, text_col, k, make):
+    """Rows (doc_id, key, made) made anew from the texts of ``wanted`` (doc_id) and some others.
+
+    ``made`` is what ``make`` returns as bytes for a sorted token array. Only texts that a filter of bounded
+    size lets pass reach Python, and no text shuffles.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
 
+    def run(batches):
+        for frame in byte_batches(batches, "text", BATCH_CHARS):
+            _, keys, tokens = token_sets(frame["text"], k)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "key": keys, "made": [make(t) if len(t) else b"" for t in tokens]})
+
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return sift(slim, "doc_id", wanted).select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, key long, made binary")
 
-def prefixes(sets, percent, hot=None, most=None):
-    """Rows (token, key): the first tokens of each set in the common order."""
-    shared = sets.sparkSession.sparkContext.broadcast(np.array(sorted(hot or []), np.uint64))
+
+def exploded(rows, most=None):
+    """Rows (token, key) of rows (key, prefix)."""
 
     def run(batches):
-        late = shared.value
         for frame in batches:
-            token_parts, keys, lengths = [], [], []
-            for data, n, key in zip(frame["tokens"], frame["n"], frame["key"]):
-                tokens = unpack(data)
-                length = prefix_length(int(n), percent)
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, tokens), len(late) - 1)
-                    is_late = late[at] == tokens
-                    tokens = np.concatenate([tokens[~is_late], tokens[is_late]])
-                tokens = tokens[: min(length, most) if most else length]
-                token_parts.append(tokens)
-                keys.append(key)
-                lengths.append(len(tokens))
-            if token_parts:
-                yield pd.DataFrame({"token": np.concatenate(token_parts).astype(np.int64), "key": np.repeat(keys, lengths)})
-
-    return sets.where("n > 0").select("key", "n", "tokens").mapInPandas(run, "token long, key long")
-
-
-def hot_tokens(sets, percent):
-    """Tokens in the prefixes of more than 0.1 % of all rows (64 at least); a bounded list.
+            parts = [unpack(data)[:most] for data in frame["prefix"]]
+            if parts:
+                keys = np.repeat(frame["key"].to_numpy(), [len(part) for part in parts])
+                yield pd.DataFrame({"token": np.concatenate(parts).astype(np.int64), "key": keys})
+
+    return rows.select("key", "prefix").mapInPandas(run, "token long, key long")
+
+
+def hot_tokens(sets):
+    """Sorted tokens in the prefixes of more than 0.1 % of all rows (64 at least); a bounded list.
 
     Tasks send only tokens that they meet twice, which the few wanted here are sure to be in most
     tasks. The list only orders tokens: any list gives the same links.
@@ -135,9 +156,30 @@ def hot_tokens(sets, percent):
         found, n = np.unique(np.concatenate(tokens) if tokens else np.empty(0, np.int64), return_counts=True)
         yield pd.DataFrame({"token": found[n > 1], "n": n[n > 1]})
 
-    counted = prefixes(sets, percent).mapInPandas(count, "token long, n long")
+    counted = exploded(sets).mapInPandas(count, "token long, n long")
     hot = counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-    return [row["token"] for row in hot.select("token").toLocalIterator()]
+    return np.array(sorted(row["token"] for row in hot.select("token").toLocalIterator()), np.uint64)
+
+
+def ordered_prefixes(docs, sets, hot, id_col, text_col, k, percent):
+    """Staged rows (key, prefix) in the common order; only sets with a hot token are made anew."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(hot)
+
+    def mark(batches):
+        late = shared.value
+        for frame in batches:
+            tokens = [unpack(data) for data in frame["prefix"]]
+            frame["late"] = [bool(len(late)) and bool(np.isin(t, late).any()) for t in tokens]
+            yield frame[["doc_id", "key", "prefix", "late"]]
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    rows = sets.where("n > 0 and doc_id is not null").select("doc_id", "key", "prefix")
+    marked = stage(rows.mapInPandas(mark, f"doc_id {kind}, key long, prefix binary, late boolean"), "prefixes")
+    late = marked.where("late").select("doc_id", F.col("key").alias("__key"))
+    anew = contents(docs, late.select("doc_id"), id_col, text_col, k, lambda t: pack(prefix(t, percent, shared.value)))
+    anew = anew.join(late.distinct(), "doc_id").where("key = __key").select("key", F.col("made").alias("prefix"))
+    return marked.where("not late").select("key", "prefix").unionByName(stage(anew, "prefixes-late"))
 
 
 class Group:
@@ -204,46 +246,38 @@ def _find(parent, i):
 
 
 def survivors(grouped, percent):
-    """Of rows (group, key, component, n, bits): (group, key) with a possible link to another component."""
+    """Of rows (group, key, component, n, bits): those with a possible link to another component."""
 
     def run(batches):
         for frame in runs_of(batches, "group"):
             if len(frame) < 2:
                 continue
-            group = Group(frame["n"].to_numpy(), frame["bits"].tolist(), percent)
-            a, b = group.links()
+            a, b = Group(frame["n"].to_numpy(), frame["bits"].tolist(), percent).links()
             labels = frame["component"].to_numpy()
             apart = labels[a] != labels[b]
             used = np.unique(np.concatenate([a[apart], b[apart]]))
             if len(used):
-                yield frame.iloc[used][["group", "key", "component"]]
+                yield frame.iloc[used][["group", "key"]]
 
     ordered = grouped.repartition("group").sortWithinPartitions("group")
-    return ordered.mapInPandas(run, "group long, key long, component long")
+    return ordered.mapInPandas(run, "group long, key long")
 
 
 def verified(grouped, percent):
-    """Links (a, b) among rows (group, key, component, n, tokens, bits), as a forest per group."""
+    """Links (a, b) among rows (group, key, component, tokens), as a forest per group."""
 
     def run(batches):
         for frame in runs_of(batches, "group"):
             if len(frame) < 2:
                 continue
             keys = frame["key"].tolist()
-            labels, inverse = np.unique(frame["component"].to_numpy(), return_inverse=True)
-            parent = list(range(len(labels)))
-            group = Group(frame["n"].to_numpy(), frame["bits"].tolist(), percent)
-            tokens = [None] * len(keys)
-            packed = frame["tokens"].tolist()
+            _, inverse = np.unique(frame["component"].to_numpy(), return_inverse=True)
+            parent = list(range(len(keys)))
+            tokens = [unpack(data) for data in frame["tokens"]]
             found = []
-            for i, j in zip(*(side.tolist() for side in group.links())):
+            for i, j in zip(*(side.tolist() for side in Group([len(t) for t in tokens], [bitmap(t, WIDE) for t in tokens], percent).links())):
                 x, y = _find(parent, inverse[i]), _find(parent, inverse[j])
-                if x == y:
-                    continue
-                for at in (i, j):
-                    if tokens[at] is None:
-                        tokens[at] = unpack(packed[at])
-                if similar(tokens[i], tokens[j], percent):
+                if x != y and similar(tokens[i], tokens[j], percent):
                     parent[max(x, y)] = min(x, y)
                     found.append((keys[i], keys[j]))
             if found:
@@ -285,35 +319,41 @@ def second_groups(rows):
 
 def classes_of(docs, id_col="doc_id", text_col="text", k=K, percent=PERCENT):
     """(sets, labels): the staged sets and (key, component) of every linked class."""
-    sets = sets_table(docs, id_col, text_col, k)
-    ids = sets.where("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    carrier = stage(ids.where("doc_id is not null"), "set-classes")
-
-    def attach(rows, *columns):
-        """Adds contents of the classes of ``rows``; only contents that a filter lets pass shuffle."""
-        content = sets.select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"), *columns)
-        content = sift(content, "__key", rows.select(F.col("key").alias("__key")))
-        chosen = rows.join(carrier.select("key", F.col("doc_id").alias("__carrier")), "key")
-        match = (F.col("key") == F.col("__key")) & (F.col("__carrier") == F.col("__doc"))
-        return chosen.join(content, match).select(*rows.columns, *columns)
-
-    hot = hot_tokens(sets, percent)
-    start = first_groups(prefixes(sets, percent, hot, FIRST_TOKENS)).withColumn("component", F.col("key"))
-    start = stage(start, "groups-first")
-    links = stage(verified(attach(start, "n", "tokens", "bits"), percent), "links-first")
+    sets = sets_table(docs, id_col, text_col, k, percent)
+    first = sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("__carrier"))
+    carrier = stage(first, "set-classes")
+
+    def with_bits(rows):
+        content = sift(sets.select(F.col("key").alias("__key"), "doc_id", "n", "bits"), "__key", rows.select(F.col("key").alias("__key")))
+        chosen = rows.join(carrier, "key")
+        match = (F.col("key") == F.col("__key")) & (F.col("__carrier") == F.col("doc_id"))
+        return chosen.join(content, match).select(*rows.columns, "n", "bits")
+
+    def with_made(rows, name, make):
+        chosen = stage(rows.join(carrier, "key"), "wanted-sets")
+        content = contents(docs, chosen.select(F.col("__carrier").alias("doc_id")), id_col, text_col, k, make)
+        content = content.withColumnRenamed("key", "__key")
+        match = (F.col("key") == F.col("__key")) & (F.col("__carrier") == F.col("doc_id"))
+        return chosen.join(content, match).select(*rows.columns, F.col("made").alias(name))
+
+    def labelled(rows, labels):
+        known = labels.withColumnRenamed("node", "key")
+        return rows.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+    prefixes = ordered_prefixes(docs, sets, hot_tokens(sets), id_col, text_col, k, percent)
+    start = first_groups(exploded(prefixes, FIRST_TOKENS)).withColumn("component", F.col("key"))
+    links = stage(verified(with_made(start, "tokens", pack), percent), "links-first")
     labels = stage(components(links), "components-first")
 
-    tokens = prefixes(sets, percent, hot).repartition("token")
+    tokens = exploded(prefixes).repartition("token")
     shared = tokens.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    repeated = tokens.join(shared.select("token"), "token").distinct()
-    labelled = repeated.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    labelled = stage(labelled, "shared-tokens")
-    groups = second_groups(labelled).join(labels.withColumnRenamed("node", "key"), "key", "left")
-    groups = stage(groups.select("group", "key", F.coalesce("component", "key").alias("component")), "groups-second")
-    possible = stage(survivors(attach(groups, "n", "bits"), percent), "survivors")
-    more = stage(verified(attach(possible, "n", "tokens", "bits"), percent), "links-second")
+    repeated = stage(labelled(tokens.join(shared.select("token"), "token").distinct(), labels), "shared-tokens")
+    groups = stage(labelled(second_groups(repeated), labels), "groups-second")
+    possible = labelled(_distinct_groups(survivors(with_bits(groups), percent)), labels)
+    sizes = sets.groupBy("key").agg(F.max("n").alias("n"))
+    wide = with_made(possible.join(sizes, "key"), "bits", lambda t: bitmap(t, WIDE))
+    possible = labelled(_distinct_groups(survivors(wide, percent)), labels)
+    more = stage(verified(with_made(possible, "tokens", pack), percent), "links-second")
     if more.isEmpty():
         return sets, labels
     return sets, stage(components(links.unionByName(more)), "components-second")
@@ -328,3 +368,19 @@ def near_duplicate_classes(docs, id_col="doc_id", text_col="text", k=K, percent=
     return rows.join(smallest, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def keep_first(docs, id_col="doc_id", text_col="text", k=K, percent=PERCENT):
+    """``docs`` with only the smallest id of each component, all columns kept.
+
+    Only ids that go are joined, and only rows whose id a filter of bounded size lets pass shuffle.
+    Rows of equal id and rows without an id stay.
+    """
+    found = near_duplicate_classes(docs, id_col, text_col, k, percent)
+    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    names = docs.columns
+    whole = docs.select(F.col(id_col).alias("__id"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"))
+    marked = sift(whole, "__id", gone.select(F.col("__gone").alias("__id")), keep_all=True)
+    straight = marked.where("not __maybe")
+    kept = marked.where("__maybe").join(gone, F.col("__id") == F.col("__gone"), "left_anti")
+    return straight.select("__row").unionByName(kept.select("__row")).select(*[F.col("__row")[n].alias(n) for n in names])
