@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, secrets, token_files, toxicity
+from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, secrets, substring_dedup, token_files, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -113,3 +113,8 @@ def op1_toxicity(spark, sf_dir):
 @query("op6_decontaminate")
 def op6_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
