@@ -21,9 +21,13 @@ def stage(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "2000"  # texts that a Python worker holds at a time
+
+
 def ship(spark):
-    """Makes this package importable in Python workers, once per session."""
+    """Makes this package importable in Python workers, once per session, and bounds their batches."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(context, "_shelfline_shipped", False):
         return
     archive = os.path.join(tempfile.mkdtemp(prefix="shelfline-package-"), "shelfline_package.zip")

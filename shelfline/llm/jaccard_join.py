@@ -41,7 +41,7 @@ WIDE = 8
 HOT_SHARE = 0.001
 HOT_LEAST = 64
 FAN_OUT = 8
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 
 def pack(tokens):
@@ -152,11 +152,11 @@ def hot_tokens(sets):
     least = max(HOT_LEAST, int(HOT_SHARE * sets.count()))
 
     def count(batches):
-        tokens = [frame["token"].to_numpy() for frame in batches]
-        found, n = np.unique(np.concatenate(tokens) if tokens else np.empty(0, np.int64), return_counts=True)
-        yield pd.DataFrame({"token": found[n > 1], "n": n[n > 1]})
+        tokens = [unpack(data) for frame in batches for data in frame["prefix"]]
+        found, n = np.unique(np.concatenate(tokens) if tokens else np.empty(0, np.uint64), return_counts=True)
+        yield pd.DataFrame({"token": found[n > 1].astype(np.int64), "n": n[n > 1]})
 
-    counted = exploded(sets).mapInPandas(count, "token long, n long")
+    counted = sets.select("prefix").mapInPandas(count, "token long, n long")
     hot = counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > least)
     return np.array(sorted(row["token"] for row in hot.select("token").toLocalIterator()), np.uint64)
 
