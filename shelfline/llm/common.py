@@ -132,8 +132,9 @@ def word_hashes(texts, gaps=_IS_SPACE):
     inside = ~space
     letters = _LOWER[joined[inside]]
     first = np.cumsum(lengths) - lengths
-    place = np.arange(len(letters), dtype=np.int64) - np.repeat(first, lengths)
-    values = _BYTE_CODE[letters] * _powers(int(lengths.max()))[place]
+    place = np.arange(len(letters), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+    values = _BYTE_CODE[letters]
+    values *= _powers(int(lengths.max()))[place]
     hashes = mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
     return hashes, np.concatenate([[0], np.searchsorted(starts, ends)]).astype(np.int64)
 

@@ -26,11 +26,11 @@ from shelfline.llm.common import PUNCTUATED, byte_batches, ship, stage, word_has
 
 COMMON = 0.05
 LEAST_WORDS = 8
-RANK = 160
+RANK = 128
 POWER_STEPS = 2
 WINDOW = 32
 STEP = 16
-LEAST_HITS = 3
+LEAST_HITS = 4
 COSINE = 0.35
 SURE = 0.8
 LIKELY = 0.55
@@ -48,6 +48,23 @@ def split_items(texts):
     return [words[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
+class Lookup:
+    """Finds the words of a sorted vocabulary; a table of 16 hash bits spares most searches."""
+
+    def __init__(self, vocabulary):
+        self.vocabulary = vocabulary
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[vocabulary & np.uint64(0xFFFF)] = True
+
+    def __call__(self, words):
+        """(places in words, numbers in the vocabulary) of the words it holds."""
+        place = np.flatnonzero(self.maybe[words & np.uint64(0xFFFF)])
+        some = words[place]
+        at = np.minimum(np.searchsorted(self.vocabulary, some), len(self.vocabulary) - 1)
+        hit = self.vocabulary[at] == some
+        return place[hit], at[hit]
+
+
 def document_frequencies(docs, text_col, vocabulary):
     """Number of documents that hold each word of the sorted vocabulary, over all documents."""
     spark = docs.sparkSession
@@ -55,14 +72,17 @@ def document_frequencies(docs, text_col, vocabulary):
 
     def run(batches):
         known = shared.value
+        lookup, rows = Lookup(known), max(1, (1 << 24) // len(known))
         totals = np.zeros(len(known), np.int64)
         for frame in byte_batches(batches, "text", BATCH_CHARS):
             words, offsets = word_hashes(frame["text"], PUNCTUATED)
-            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-            hit = known[at] == words
-            owner = np.repeat(np.arange(len(frame)), np.diff(offsets))[hit]
-            pairs = np.unique(owner * len(known) + at[hit])
-            totals += np.bincount(pairs % len(known), minlength=len(known))
+            place, at = lookup(words)
+            owner = np.searchsorted(offsets, place, side="right") - 1
+            for begin in range(0, len(frame), rows):
+                mine = (owner >= begin) & (owner < begin + rows)
+                held = np.zeros((min(rows, len(frame) - begin), len(known)), bool)
+                held[owner[mine] - begin, at[mine]] = True
+                totals += held.sum(axis=0)
         used = np.flatnonzero(totals)
         yield pd.DataFrame({"word": used, "n": totals[used]})
 
@@ -126,24 +146,23 @@ class Searcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, ids, items, vocabulary, idf, basis):
-        self.ids, self.items, self.vocabulary = ids, items, vocabulary
+        self.ids, self.items, self.lookup = ids, items, Lookup(vocabulary)
         self.embedding = (idf[:, None] * basis).astype(np.float32)
         vectors = []
         for words in items:
-            at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-            vectors.append(self.embedding[np.unique(at[vocabulary[at] == words])].sum(axis=0))
+            vectors.append(self.embedding[np.unique(self.lookup(words)[1])].sum(axis=0))
         vectors = np.array(vectors, np.float32)
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
-    def _windows(self, words, owner_of_word, place):
+    def _windows(self, words, offsets):
         """Rows (text, window number, vector) of windows with enough words of the vocabulary."""
-        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        hit = np.flatnonzero(self.vocabulary[at] == words)
-        number = place[hit] // STEP
+        place, at = self.lookup(words)
+        text = np.searchsorted(offsets, place, side="right") - 1
+        number = (place - offsets[text]) // STEP
         back = number > 0
-        owner = np.concatenate([owner_of_word[hit], owner_of_word[hit][back]])
+        owner = np.concatenate([text, text[back]])
         window = np.concatenate([number, number[back] - 1])
-        word = np.concatenate([at[hit], at[hit][back]])
+        word = np.concatenate([at, at[back]])
         order = np.lexsort((word, window, owner))
         owner, window, word = owner[order], window[order], word[order]
         if not len(owner):
@@ -164,10 +183,7 @@ class Searcher:
 
     def candidates(self, words, offsets):
         """(text, window, item, cosine) at or over the cosine threshold."""
-        sizes = np.diff(offsets)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(words)) - np.repeat(offsets[:-1], sizes)
-        texts, windows, vectors = self._windows(words, owner, place)
+        texts, windows, vectors = self._windows(words, offsets)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         found = []
         for i in range(0, len(vectors), 8192):
@@ -182,10 +198,8 @@ class Searcher:
         leaks = [{} for _ in texts]
         for text, window, item, cosine in zip(*(c.tolist() for c in self.candidates(words, offsets))):
             wanted = self.items[item]
-            margin = len(wanted) // 2
-            begin, end = offsets[text], offsets[text + 1]
-            low = max(begin, begin + window * STEP - max(len(wanted) - STEP, 0) - margin)
-            high = min(end, begin + window * STEP + max(WINDOW, STEP + len(wanted)) + margin)
+            at = offsets[text] + window * STEP
+            low, high = max(offsets[text], at - len(wanted)), min(offsets[text + 1], at + WINDOW + len(wanted))
             share = common_subsequence(wanted, words[low:high]) / len(wanted)
             if share < LIKELY or share <= leaks[text].get(item, (0, 0))[1]:
                 continue
