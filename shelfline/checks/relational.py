@@ -7,7 +7,7 @@ from shelfline.checks.registry import query
 from shelfline.functions.arithmetic import effective_inventory
 from shelfline.functions.rules import accuracy_flag
 from shelfline.operators import aggregates, filters, joins, ordering
-from shelfline.operators.windows import SKU, is_short, running_demand
+from shelfline.operators.windows import SKU, is_short, running_demand, unfolded
 from shelfline.plans import kpis, marts
 from shelfline.sources import driver_tables as D
 
@@ -60,9 +60,9 @@ def key_not_null(spark, sf_dir):
     ),
 )
 def short_or_covered(spark, sf_dir):
-    short, last = F.col("is_less_than_demand"), F.col("first_rn") == marts.HORIZON
+    short, last = F.col("is_less_than_demand"), F.col("rn") == marts.HORIZON
     kept = outlook(spark, sf_dir).where(filters.short_or_covered(short, last))
-    return kept.select(*SKU, F.col("first_rn").alias("rn"), short.alias("short"))
+    return kept.select(*SKU, "rn", short.alias("short"))
 
 
 @query(
@@ -73,7 +73,7 @@ def short_or_covered(spark, sf_dir):
     ),
 )
 def first_row_per_sku(spark, sf_dir):
-    first = outlook(spark, sf_dir).where(F.col("first_rn") == 1)
+    first = outlook(spark, sf_dir).where(F.col("rn") == 1)
     return first.select(*SKU, "forecasted_for", "running_total")
 
 
@@ -255,7 +255,7 @@ def monthly_stock(spark, sf_dir):
 def smallest_cover(spark, sf_dir):
     decides = filters.short_or_covered(F.col("is_less_than_demand"), F.col("last_rn") >= marts.HORIZON)
     return (
-        outlook(spark, sf_dir)
+        marts.folded_outlook(folded_star(spark, sf_dir), D.folded_forecast(spark, sf_dir))
         .where(decides)
         .groupBy(*SKU)
         .agg(F.min(marts.days_of_supply_candidate()).alias("dos"))
@@ -316,7 +316,7 @@ def share_below(spark, sf_dir):
     ),
 )
 def drill_down(spark, sf_dir):
-    return aggregates.drill_down(D.inventory(spark, sf_dir), F.sum("units_sold").alias("units_sold"))
+    return aggregates.drill_down(D.inventory(spark, sf_dir), {"units_sold": F.col("units_sold")})
 
 
 @query(
@@ -357,7 +357,7 @@ def count_matrix(spark, sf_dir):
 
 
 def numbered(spark, sf_dir):
-    return running_demand(D.folded_forecast(spark, sf_dir))
+    return unfolded(running_demand(D.folded_forecast(spark, sf_dir)))
 
 
 @query(
@@ -378,7 +378,7 @@ def running_sum(spark, sf_dir):
 )
 def row_number(spark, sf_dir):
     rows = numbered(spark, sf_dir)
-    return rows.select(*SKU, F.col("full_date").alias("forecasted_for"), F.col("first_rn").alias("rn"))
+    return rows.select(*SKU, F.col("full_date").alias("forecasted_for"), "rn")
 
 
 @query(

@@ -86,8 +86,7 @@ def inventory_turnover_monthly_exact(spark, sf_dir):
     ),
 )
 def demand_outlook(spark, sf_dir):
-    rows = outlook(spark, sf_dir).withColumnRenamed("first_rn", "rn")
-    return rows.drop("last_rn", "copies", "selling_price")
+    return outlook(spark, sf_dir).drop("selling_price")
 
 
 @query(
@@ -231,7 +230,7 @@ _TURNOVER = f"""turnover AS (
     ),
 )
 def inventory_velocity(spark, sf_dir):
-    return kpis.inventory_velocity(snapshot(spark, sf_dir))
+    return kpis.inventory_velocity(kpis.recent_snapshot(D.star(spark, sf_dir)))
 
 
 _ERROR = "abs(demand_c - 100 * units_sold)"
@@ -386,4 +385,39 @@ def risk_drill_down_filtered(spark, sf_dir):
 def working_capital_drill_down(spark, sf_dir):
     kept = dashboard_filter(snapshot(spark, sf_dir), start="1997-01-01", end="1998-12-31")
     value = F.col("inventory_level").cast("decimal(12,0)") * F.col("selling_price")
-    return drill_down(kept, F.sum(value).cast(kpis.AMOUNT).alias("working_capital"))
+    total = F.col("working_capital").cast(kpis.AMOUNT).alias("working_capital")
+    return drill_down(kept, {"working_capital": value}, [total])
+
+
+@query(
+    "k13_reliability_drill_down",
+    sql.long(
+        f"""SELECT {_LEVELS}, COUNT(*) AS observations, {', '.join(f'{part} AS {name}' for name, part in _RELIABILITY.items())}
+            FROM flat GROUP BY ROLLUP (store_id, product_id)"""
+    ),
+)
+def reliability_drill_down(spark, sf_dir):
+    return kpis.reliability_drill_down(deviation(spark, sf_dir))
+
+
+@query(
+    "k13_velocity_drill_down",
+    sql.long(
+        """SELECT level, store_id, product_id, CAST(t AS DOUBLE) / 1000000 AS turnover,
+                  CAST((2 * 3000000000 + t) // (2 * t) AS DOUBLE) / 100 AS avg_shelf_days
+           FROM (SELECT """
+        + _LEVELS
+        + """, (2 * SUM(micro * sold) + SUM(sold)) // (2 * SUM(sold)) AS t
+           FROM turnover GROUP BY ROLLUP (store_id, product_id))""",
+        """recent AS (SELECT * FROM flat
+           WHERE full_date > (SELECT MAX(full_date) FROM flat) - 30)""",
+        _TURNOVER.format(source="recent"),
+    ),
+)
+def velocity_drill_down(spark, sf_dir):
+    return kpis.velocity_drill_down(kpis.recent_snapshot(D.star(spark, sf_dir)))
+
+
+@query("k10_turnover_long", sql.long("SELECT store_id, product_id, CAST(micro AS DOUBLE) / 1000000 AS turnover FROM turnover", _TURNOVER.format(source="flat")))
+def turnover_long(spark, sf_dir):
+    return kpis.sku_turnover(snapshot(spark, sf_dir)).select(*SKU, "turnover")

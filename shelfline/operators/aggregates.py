@@ -1,6 +1,7 @@
 """Aggregations; all combine on the map side, so a hot key costs no extra shuffle."""
 
-from pyspark.sql import Window
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import zero_to_null
@@ -80,50 +81,64 @@ def share_below(value, threshold):
     return frequency(F.coalesce(value < threshold, F.lit(False)))
 
 
-def drill_down(df, *aggregates, levels=("store_id", "product_id")):
-    """Aggregates for the portfolio, each store and each SKU; ``level`` tells them apart."""
+def drill_down(df, measures, totals=None, levels=("store_id", "product_id")):
+    """Totals for the portfolio, each store and each SKU; ``level`` tells them apart.
+
+    ``measures`` are row expressions by name. They are summed per SKU first, so the rollup
+    multiplies one row per SKU and not every row. ``totals`` are columns over the summed
+    measures, by default the sums themselves.
+    """
     depth = F.grouping_id()
     # grouping_id is 3 for the portfolio, 1 for a store and 0 for a SKU
     level = F.when(depth == 0, "sku").when(depth == 1, "store").otherwise("portfolio")
-    return df.rollup(*levels).agg(level.alias("level"), *aggregates)
+    skus = df.groupBy(*levels).agg(*[F.sum(value).alias(name) for name, value in measures.items()])
+    rolled = skus.rollup(*levels).agg(level.alias("level"), *[F.sum(name).alias(name) for name in measures])
+    return rolled.select("level", *levels, *(totals or measures))
 
 
 def breakdown(df, by, *aggregates):
     return df.groupBy(by).agg(*aggregates)
 
 
-def quantile_cuts(df, value, shares):
+def quantile_cuts(df, value, shares, bins=1024):
     """One row with the exact quantiles ``cut_0, cut_1, ...`` of a decimal column.
 
-    Rows are counted per distinct value, and those counts per whole number. Running counts over
-    the whole numbers tell which one holds each quantile; only the distinct values of that
-    whole number (at most 10 to the power of the column's scale) are then ordered.
+    A quantile is the smallest value with at least ``share`` of all values at or below it. Each
+    pass counts the values of the intervals still open in ``bins`` equal parts and narrows every
+    interval to the part that holds its quantile, until a part is one value wide; so a pass
+    returns at most ``bins`` counts per quantile, and nothing is ordered or gathered.
     """
-    known = df.where(F.col(value).isNotNull())
-    values = known.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    values = values.withColumn("whole", F.floor("v").cast("long"))
-    in_order = Window.orderBy("whole").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wholes = values.groupBy("whole").agg(F.sum("n").alias("whole_n"))
-    reached = wholes.select("whole", "whole_n", F.sum("whole_n").over(in_order).alias("until"))
-    targets = F.array(
-        *[F.struct(F.lit(i).alias("cut"), F.lit(share).alias("share")) for i, share in enumerate(shares)]
-    )
-    rank = F.col("share") * reached.agg(F.max("until")).scalar()
-    holding = (
-        reached.select("*", F.inline(targets))
-        .withColumn("rank", rank)
-        .withColumn("before", F.col("until") - F.col("whole_n"))
-        .where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("until")))
-        .select("whole", "cut", "rank", "before")
-    )
-    by_value = (
-        Window.partitionBy("cut").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = values.join(holding, "whole").withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-    picked = ranked.where(F.col("upto") >= F.col("rank"))
-    return picked.agg(
-        *[F.min(F.when(F.col("cut") == i, F.col("v"))).alias(f"cut_{i}") for i in range(len(shares))]
-    )
+    kind = df.schema[value].dataType
+    step = 10**kind.scale
+    values = df.where(F.col(value).isNotNull()).select((F.col(value) * step).cast("long").alias("v"))
+    ends = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    low, high, n = ends
+    if not n:
+        nothing = F.lit(None).cast(kind)
+        return df.sparkSession.range(1).select(*[nothing.alias(f"cut_{i}") for i in range(len(shares))])
+    open_parts = [(low, high, 0, share * n) for share in shares]
+    while any(begin < end for begin, end, _, _ in open_parts):
+        counts = []
+        for begin, end, _, _ in open_parts:
+            width = -(-(end - begin + 1) // bins)
+            counts.append(F.when(F.col("v").between(begin, end), F.expr(f"(v - {begin}L) div {width}L")).alias("bin"))
+        tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("cut"), c) for i, c in enumerate(counts)])).alias("p")
+        seen = values.select(tagged).where("p.bin is not null").groupBy("p.cut", "p.bin").agg(F.count("*").alias("n"))
+        by_cut = {}
+        for row in seen.collect():
+            by_cut.setdefault(row["cut"], []).append((row["bin"], row["n"]))
+        narrowed = []
+        for i, (begin, end, before, rank) in enumerate(open_parts):
+            width = -(-(end - begin + 1) // bins)
+            for part, size in sorted(by_cut[i]):
+                if before + size >= rank:
+                    begin, end = begin + part * width, min(end, begin + (part + 1) * width - 1)
+                    break
+                before += size
+            narrowed.append((begin, end, before, rank))
+        open_parts = narrowed
+    cuts = [Decimal(begin).scaleb(-kind.scale) for begin, _, _, _ in open_parts]
+    return df.sparkSession.range(1).select(*[F.lit(c).cast(kind).alias(f"cut_{i}") for i, c in enumerate(cuts)])
 
 
 def count_matrix(pairs, actual, predicted, labels):

@@ -36,6 +36,12 @@ def running_demand(forecast):
     )
 
 
+def unfolded(demand):
+    """One row per forecast row again, numbered ``rn``, of what :func:`running_demand` folded."""
+    numbers = F.sequence(F.col("first_rn"), F.col("last_rn"))
+    return demand.withColumn("rn", F.explode(numbers)).drop("first_rn", "last_rn", "copies")
+
+
 def is_short(effective_inventory, running_total):
     """TRUE where stock does not cover the running demand; unknown counts as FALSE."""
     return F.coalesce(effective_inventory < running_total, F.lit(False))

@@ -1,28 +1,60 @@
 """The whole daily job and the first load, on a warehouse folder."""
 
-import os
+from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.sql import functions as F
+
+from shelfline.operators.joins import Star
 from shelfline.operators.quality import observe_rows
 from shelfline.plans import loads
-from shelfline.plans.marts import EXPORT_ORDER, define_views, reporting_marts
-from shelfline.sources.files import export_marts, read_incoming
+from shelfline.plans.marts import (
+    EXPORT_ORDER,
+    EXPORT_PARTS,
+    define_views,
+    inventory_daily_snapshot,
+    inventory_turnover_monthly,
+    forecast_deviation,
+    reporting_marts,
+)
+from shelfline.sources.files import Incoming, export_marts
 
 
 def load_history(warehouse, raw):
-    """First load of an empty warehouse."""
-    warehouse.append_raw(raw, "history")
-    raw = warehouse.raw_batch("history")
-    warehouse.replace("dwh/dim_product", loads.history_products(raw))
-    warehouse.replace("dwh/dim_store", loads.history_stores(raw))
-    warehouse.replace("dwh/dim_date", loads.history_dates(raw))
+    """First load; repeated, or on a warehouse that holds rows, it adds only what is missing.
+
+    Known members keep their keys. The raw folder is named by the rows it holds, so the same
+    history lands once and another one replaces nothing.
+    """
+    seen = raw.agg(F.sum(F.xxhash64(*raw.columns).cast("decimal(38,0)")), F.count("*")).first()
+    name = f"history-{abs(seen[0] or 0)}-{seen[1]}"
+    warehouse.append_raw(raw, name)
+    raw = warehouse.raw_batch(name)
     star = warehouse.star()
-    warehouse.append_fact(loads.history_facts(raw, star.dim_store, star.dim_product))
+    warehouse.replace("dwh/dim_product", loads.history_products(raw, star.dim_product))
+    warehouse.replace("dwh/dim_store", loads.history_stores(raw, star.dim_store))
+    warehouse.replace("dwh/dim_date", loads.history_dates(raw, dim_date=star.dim_date))
+    _append_facts(warehouse, raw, name)
 
 
-def load_batch(warehouse, batch):
+def _append_facts(warehouse, batch, name):
+    """New facts to the fact, rows that break a constraint to the reject table; touched dates."""
+    star = warehouse.star()
+    typed = loads.checked_facts(batch, star.dim_date, star.dim_store, star.dim_product)
+    rejected = loads.rejected_rows(typed)
+    if not rejected.isEmpty():
+        warehouse.reject(rejected, name)
+    facts = loads.new_facts(star.fact, typed)
+    touched = [row["date_key"] for row in facts.select("date_key").distinct().collect()]
+    warehouse.append_fact(facts)
+    return sorted(touched)
+
+
+def load_batch(warehouse, batch, name="batch"):
     """Dimensions and fact for one batch of raw rows; loading it again changes nothing.
 
-    A dimension is written only if the batch brings new or reactivated members.
+    A dimension is written only if the batch brings new or reactivated members. Returns the keys
+    of the dates that got new facts.
     """
     star = warehouse.star()
     if not loads.changed_stores(star.dim_store, batch).isEmpty():
@@ -31,37 +63,82 @@ def load_batch(warehouse, batch):
         warehouse.replace("dwh/dim_product", loads.sync_products(star.dim_product, batch))
     if not loads.new_dates(star.dim_date, batch).isEmpty():
         warehouse.replace("dwh/dim_date", loads.sync_dates(star.dim_date, batch))
-    star = warehouse.star()
-    warehouse.append_fact(loads.new_facts(star.fact, batch, star.dim_store, star.dim_product))
+    return _append_facts(warehouse, batch, name)
+
+
+def load_snapshot(warehouse, forecast):
+    """The newest forecast of the delivery replaces the stored one unless that is newer.
+
+    Returns its number of rows, 0 if the stored one stays.
+    """
+    newest = loads.newest_snapshot(forecast)
+    made_on = loads.forecast_date(newest)
+    stored = loads.forecast_date(warehouse.read("raw/demand_forecast_7d"))
+    if made_on is None or (stored is not None and stored > made_on):
+        return 0
+    counted, seen = observe_rows(newest, "demand_forecast_7d")
+    warehouse.replace("raw/demand_forecast_7d", counted)
+    warehouse.replace("dwh/demand_forecast_7d", loads.typed_forecast(warehouse.read("raw/demand_forecast_7d")))
+    return seen.get["rows"]
+
+
+def load_delivery(warehouse, incoming, latest_only=False):
+    """Loads the files of one delivery; returns the counts per target and the touched dates."""
+    counts = {"inventory_dump": 0, "demand_forecast_7d": 0}
+    touched = []
+    if incoming.inventory_paths:
+        counted, seen = observe_rows(incoming.inventory(), "inventory_dump")
+        warehouse.append_raw(counted, incoming.name)
+        counts["inventory_dump"] = seen.get["rows"]
+        batch = warehouse.raw_batch(incoming.name)
+        if latest_only:
+            newest_loaded = max(warehouse.fact_dates(), default=None)
+            kept = loads.not_older_than(loads.latest_batch(batch), newest_loaded)
+            counts["left_out"] = batch.count() - kept.count()
+            batch = kept
+        touched = load_batch(warehouse, batch, incoming.name)
+    if incoming.forecast_paths:
+        counts["demand_forecast_7d"] = load_snapshot(warehouse, incoming.forecast())
+    return counts, touched
+
+
+def run_day(text=None):
+    """The date a job runs for: the given ISO date, else yesterday."""
+    return date.fromisoformat(text) if text else date.today() - timedelta(days=1)
+
+
+def touched_marts(star, forecast, touched, latest):
+    """The marts a daily run exports: snapshots whole, the others for touched dates and months."""
+    key = F.col("date_key")
+    months = sorted({day // 100 for day in touched})
+    in_months = reduce(lambda a, b: a | b, [key.between(m * 100, m * 100 + 99) for m in months], F.lit(False))
+    by_day = Star(star.fact.where(key.isin(touched)), *star[1:])
+    by_month = Star(star.fact.where(in_months), *star[1:])
+    marts = reporting_marts(star, forecast, latest)
+    marts["inventory_daily_snapshot"] = inventory_daily_snapshot(by_day)
+    marts["forecast_deviation"] = forecast_deviation(by_day)
+    marts["inventory_turnover_monthly"] = inventory_turnover_monthly(by_month)
+    return marts
 
 
-def run_daily(spark, warehouse, incoming, batch_id, export_folder=None, latest_only=True):
-    """Raw load, transforms, mart views and export; nothing happens without incoming rows.
+def run_daily(spark, warehouse, incoming, run_date=None, export_folder=None, archive=None, latest_only=False):
+    """Raw load, transforms, mart views, export and archive; nothing happens without incoming files.
 
-    Only the new batch is read, not all of raw. ``latest_only`` loads its newest date alone, and
-    only if no newer date has been loaded before; otherwise all its dates are loaded. Returns the number of raw rows per target, or None if there was no file.
+    The files seen at the start are loaded, all their dates, and afterwards moved below
+    ``archive`` in a folder of the run date (an ISO date, yesterday by default); files that
+    arrive meanwhile wait for the next run. ``latest_only`` loads the newest date alone, and only
+    if no newer one was loaded before; rows left out are counted. The export writes only the dates
+    and months that got facts. Returns (rows per target, touched dates), or None without files.
     """
-    inventory, forecast = read_incoming(spark, incoming)
-    if inventory.isEmpty() and forecast.isEmpty():
+    seen = Incoming(spark, incoming)
+    if not seen.files:
         return None
-    counted_inventory, seen_inventory = observe_rows(inventory, "inventory_dump")
-    warehouse.append_raw(counted_inventory, batch_id)
-    counts = {"inventory_dump": seen_inventory.get["rows"], "demand_forecast_7d": 0}
-    if not forecast.isEmpty():
-        counted, seen = observe_rows(loads.newest_snapshot(forecast), "demand_forecast_7d")
-        warehouse.replace("raw/demand_forecast_7d", counted)
-        counts["demand_forecast_7d"] = seen.get["rows"]
-    batch = warehouse.raw_batch(batch_id)
-    if latest_only:
-        newest_loaded = max(warehouse.fact_dates(), default=None)
-        batch = loads.not_older_than(loads.latest_batch(batch), newest_loaded)
-    load_batch(warehouse, batch)
-    warehouse.replace(
-        "dwh/demand_forecast_7d", loads.typed_forecast(warehouse.read("raw/demand_forecast_7d"))
-    )
+    counts, touched = load_delivery(warehouse, seen, latest_only)
     latest = max(warehouse.fact_dates(), default=None)
-    marts = reporting_marts(warehouse.star(), warehouse.forecast(), latest)
-    define_views(marts)
+    star, forecast = warehouse.star(), warehouse.forecast()
+    define_views(reporting_marts(star, forecast, latest))
     if export_folder is not None:
-        export_marts(marts, os.path.join(export_folder, batch_id), EXPORT_ORDER)
-    return counts
+        export_marts(touched_marts(star, forecast, touched, latest), export_folder, EXPORT_ORDER, EXPORT_PARTS)
+    if archive is not None:
+        seen.archive(f"{archive.rstrip('/')}/{run_day(run_date):%Y%m%d}")
+    return counts, touched

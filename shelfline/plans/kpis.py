@@ -1,5 +1,7 @@
 """Business KPIs over the marts."""
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import at_least_zero, rounded_ratio, zero_to_null
@@ -7,14 +9,13 @@ from shelfline.functions.rules import FOUR_DAYS, TWO_DAYS
 from shelfline.operators.aggregates import (
     breakdown,
     drill_down,
-    frequency,
     quantile_cuts,
     share_below,
-    sum_where,
 )
 from shelfline.operators.filters import dashboard_filter
-from shelfline.operators.joins import latest_facts
-from shelfline.plans.marts import sku_outlook, with_alerts
+from shelfline.operators.joins import Star, latest_facts
+from shelfline.plans.marts import inventory_daily_snapshot, sku_outlook, with_alerts
+from shelfline.session import scratch_dir
 
 RATIO_PLACES = 6
 AMOUNT = "decimal(28,4)"
@@ -42,12 +43,31 @@ def sku_risks(star, forecast, latest=None):
     )
 
 
+def _count_where(condition):
+    return F.when(F.coalesce(condition, F.lit(False)), 1).otherwise(0)
+
+
+def _share(part, whole):
+    """A count over another as a rounded share."""
+    exact = F.col(part).cast("decimal(18,0)") / zero_to_null(F.col(whole).cast("decimal(18,0)"))
+    return F.round(exact, RATIO_PLACES)
+
+
+def risk_measures():
+    return {
+        "skus": F.lit(1),
+        "projected_stockout_loss": F.col("projected_stockout_loss"),
+        "_low": _count_where(F.col("dos") < TWO_DAYS),
+        "capital_locked": F.col("capital_locked"),
+    }
+
+
 def risk_totals():
     return [
-        F.count("*").alias("skus"),
-        F.sum("projected_stockout_loss").cast(AMOUNT).alias("projected_stockout_loss"),
-        F.round(share_below(F.col("dos"), TWO_DAYS), RATIO_PLACES).alias("low_inventory_share"),
-        F.sum("capital_locked").cast(AMOUNT).alias("capital_locked"),
+        "skus",
+        F.col("projected_stockout_loss").cast(AMOUNT).alias("projected_stockout_loss"),
+        _share("_low", "skus").alias("low_inventory_share"),
+        F.col("capital_locked").cast(AMOUNT).alias("capital_locked"),
     ]
 
 
@@ -80,65 +100,91 @@ def sku_turnover(snapshot):
     )
 
 
-def last_days(snapshot, days, newest=None):
-    """Rows of the last ``days`` calendar days up to the newest one (or a given ISO date)."""
+def recent_snapshot(star, days=30, newest=None):
+    """The snapshot of the last ``days`` calendar days up to the newest date key.
+
+    The bound is put on the fact's date key before the joins, so only those partitions are read.
+    ``newest`` is the key where the caller knows it (``max(warehouse.fact_dates())``); else one
+    pass over that column finds it.
+    """
+    if newest is None:
+        newest = star.fact.agg(F.max("date_key")).first()[0]
     if newest is None:
-        end = snapshot.agg(F.max("full_date")).scalar()
-    else:
-        end = F.lit(newest).cast("date")
-    return snapshot.where(F.col("full_date") > F.date_sub(end, days))
+        return inventory_daily_snapshot(star)
+    end = datetime.strptime(str(newest), "%Y%m%d").date()
+    first = int(f"{end - timedelta(days=days - 1):%Y%m%d}")
+    fact = star.fact.where((F.col("date_key") >= first) & (F.col("date_key") <= newest))
+    return inventory_daily_snapshot(Star(fact, *star[1:]))
 
 
-def inventory_velocity(snapshot, days=30, newest=None):
-    """Turnover weighted by units sold over the last days, and the average life on the shelf."""
-    skus = sku_turnover(last_days(snapshot, days, newest))
-    units = F.sum(F.when(F.col("turnover").isNotNull(), F.col("units_sold")))
-    weighted = F.sum(F.col("turnover") * F.col("units_sold"))
+def velocity_measures():
+    known = F.col("turnover").isNotNull()
+    return {
+        "_weighted": (F.col("turnover") * F.col("units_sold")).cast("decimal(30,6)"),
+        "_units": F.when(known, F.col("units_sold")),
+    }
+
+
+def velocity_totals(days):
     turnover = F.round(
-        weighted.cast("decimal(30,6)") / zero_to_null(units.cast("decimal(18,0)")), RATIO_PLACES
-    )
-    return skus.agg(turnover.cast("decimal(18,6)").alias("turnover")).withColumn(
-        "avg_shelf_days",
-        F.round(F.lit(days).cast("decimal(5,0)") / zero_to_null(F.col("turnover")), 2),
-    )
+        F.col("_weighted").cast("decimal(30,6)") / zero_to_null(F.col("_units").cast("decimal(18,0)")), RATIO_PLACES
+    ).cast("decimal(18,6)")
+    shelf = F.round(F.lit(days).cast("decimal(5,0)") / zero_to_null(turnover), 2)
+    return [turnover.alias("turnover"), shelf.alias("avg_shelf_days")]
 
 
-def forecast_reliability(deviations, *by):
-    """WAPE of the portfolio and of each error direction, and how often each direction occurs.
+def _summed(measures):
+    return [F.sum(value).alias(name) for name, value in measures.items()]
 
-    A SKU's WAPE is its summed absolute error over its units sold, so weighting by units sold
-    gives the summed error over the summed units.
-    """
+
+def inventory_velocity(recent, days=30):
+    """Turnover weighted by units sold over :func:`recent_snapshot`, and the average life on the shelf."""
+    return sku_turnover(recent).agg(*_summed(velocity_measures())).select(*velocity_totals(days))
+
+
+def velocity_drill_down(recent, days=30, **filters):
+    """Turnover and life on the shelf for the portfolio, its stores and its SKUs."""
+    return drill_down(sku_turnover(dashboard_filter(recent, **filters)), velocity_measures(), velocity_totals(days))
+
+
+def reliability_measures():
     sold, error = F.col("units_sold"), F.abs(F.col("demand_forecast") - F.col("units_sold"))
     over = F.col("demand_forecast") > F.col("units_sold")
     under = F.col("demand_forecast") < F.col("units_sold")
-    totals = deviations.groupBy(*by).agg(
-        F.count("*").alias("observations"),
-        F.sum(error).alias("_error"),
-        F.sum(sold).alias("_sold"),
-        *[
-            part.alias(name)
-            for direction, when in (("over", over), ("under", under))
-            for name, part in (
-                (f"_error_{direction}", sum_where(when, error)),
-                (f"_sold_{direction}", sum_where(when, sold)),
-                (f"_freq_{direction}", frequency(F.coalesce(when, F.lit(False)))),
-            )
-        ],
-    )
+    measures = {"observations": F.lit(1), "_error": error, "_sold": sold}
+    for direction, when in (("over", over), ("under", under)):
+        measures[f"_error_{direction}"] = F.when(when, error).otherwise(F.lit(0))
+        measures[f"_sold_{direction}"] = F.when(when, sold).otherwise(F.lit(0))
+        measures[f"_{direction}"] = _count_where(when)
+    return measures
+
 
+def reliability_totals():
     def wape(suffix):
         return rounded_ratio(F.col(f"_error{suffix}"), F.col(f"_sold{suffix}"), RATIO_PLACES)
 
-    return totals.select(
-        *by,
+    return [
         "observations",
         wape("").alias("wape"),
         wape("_over").alias("wape_over"),
         wape("_under").alias("wape_under"),
-        F.round("_freq_over", RATIO_PLACES).alias("freq_over"),
-        F.round("_freq_under", RATIO_PLACES).alias("freq_under"),
-    )
+        _share("_over", "observations").alias("freq_over"),
+        _share("_under", "observations").alias("freq_under"),
+    ]
+
+
+def forecast_reliability(deviations, *by):
+    """WAPE of the portfolio and of each error direction, and how often each direction occurs.
+
+    A SKU's WAPE is its summed absolute error over its units sold, so weighting by units sold
+    gives the summed error over the summed units.
+    """
+    return deviations.groupBy(*by).agg(*_summed(reliability_measures())).select(*by, *reliability_totals())
+
+
+def reliability_drill_down(deviations, **filters):
+    """WAPE and error frequencies for the portfolio, its stores and its SKUs."""
+    return drill_down(dashboard_filter(deviations, **filters), reliability_measures(), reliability_totals())
 
 
 def inventory_overview(star, latest=None):
@@ -147,8 +193,9 @@ def inventory_overview(star, latest=None):
     return (
         latest_facts(star, latest)
         .rollup("category")
-        .agg(on_hand.alias("on_hand"), on_order.alias("on_order"), (on_hand + on_order).alias("total"))
-        .withColumn("category", F.coalesce("category", F.lit("All")))
+        .agg(on_hand.alias("on_hand"), on_order.alias("on_order"), (on_hand + on_order).alias("total"), F.grouping("category").alias("_total"))
+        .withColumn("category", F.when(F.col("_total") == 1, "All").otherwise(F.col("category")))
+        .drop("_total")
     )
 
 
@@ -158,14 +205,27 @@ def working_capital_trend(snapshot):
 
 
 def turnover_matrix(turnover, stores):
-    """Products as rows, the listed stores as columns."""
+    """Products as rows, the listed stores as columns; a store outside the list is an error.
+
+    For many stores use the long form, :func:`sku_turnover` itself.
+    """
+    listed = F.col("store_id").isin(list(stores))
+    unlisted = F.raise_error(F.concat(F.lit("not a listed store: "), F.coalesce("store_id", F.lit("NULL"))))
+    turnover = turnover.withColumn("store_id", F.when(listed, F.col("store_id")).otherwise(unlisted.cast("string")))
     return turnover.groupBy("product_id").pivot("store_id", list(stores)).agg(F.max("turnover"))
 
 
 def mover_segments(turnover, slow=0.25, fast=0.75):
-    """Fast, medium and slow movers by exact turnover quantiles."""
-    cuts = quantile_cuts(turnover, "turnover", [slow, fast]).select(F.struct("cut_0", "cut_1")).scalar()
-    low, high = cuts["cut_0"], cuts["cut_1"]
+    """Fast, medium and slow movers by exact turnover quantiles.
+
+    The turnover, one row per SKU, is written once to the shared scratch folder, so the passes
+    that narrow the quantiles do not repeat the work below it.
+    """
+    spark = turnover.sparkSession
+    path = scratch_dir(spark, "turnover")
+    turnover.write.parquet(path)
+    turnover = spark.read.schema(turnover.schema).parquet(path)
+    low, high = quantile_cuts(turnover, "turnover", [slow, fast]).first()
     value = F.col("turnover")
     return turnover.withColumn(
         "segment",
@@ -179,4 +239,4 @@ def alert_counts(health):
 
 def risk_drill_down(risks, **filters):
     """Risk KPIs for the portfolio, its stores and its SKUs after the dashboard filters."""
-    return drill_down(dashboard_filter(risks, **filters), *risk_totals())
+    return drill_down(dashboard_filter(risks, **filters), risk_measures(), risk_totals())

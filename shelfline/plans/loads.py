@@ -8,7 +8,8 @@ from shelfline.operators.aggregates import first_wins, unique_members
 from shelfline.operators.filters import at_latest, with_key
 from shelfline.operators.joins import insert_if_absent, lookup_keys, member_changes, upsert_members
 from shelfline.operators.keys import assign_keys
-from shelfline.schemas import FACT, FACT_KEY, FORECAST
+from shelfline.operators.quality import duplicate_keys
+from shelfline.schemas import FACT, FACT_KEY, FORECAST, FOREIGN_KEYS, NON_NEGATIVE
 
 # Member states. The first load spells the product state in lower case.
 HISTORY_PRODUCT_STATUS = "active"
@@ -115,25 +116,28 @@ def typed_facts(raw):
 # First load
 
 
-def history_products(raw):
+def history_products(raw, dim_product=None):
     members = product_members(raw).withColumn("product_status", F.lit(HISTORY_PRODUCT_STATUS))
-    return assign_keys(members, "product_id", "product_key")
+    if dim_product is None or dim_product.isEmpty():
+        return assign_keys(members, "product_id", "product_key")
+    return upsert_members(
+        dim_product, members, "product_id", "product_key", "product_status", HISTORY_PRODUCT_STATUS, INACTIVE
+    )
 
 
-def history_stores(raw):
+def history_stores(raw, dim_store=None):
     members = store_members(raw).withColumn("store_status", F.lit(ACTIVE))
-    return assign_keys(members, "store_id", "store_key")
-
-
-def history_dates(raw, padded=False):
-    """Raises where one date carries two seasons."""
-    return date_rows(unique_members(observed_dates(raw), "full_date", "season"), padded)
+    if dim_store is None or dim_store.isEmpty():
+        return assign_keys(members, "store_id", "store_key")
+    return upsert_members(dim_store, members, "store_id", "store_key", "store_status", ACTIVE, INACTIVE)
 
 
-def history_facts(raw, dim_store, dim_product):
-    """All facts; of several rows with one key a single one stays."""
-    keyed = lookup_keys(typed_facts(raw), dim_store, dim_product).select(*FACT.fieldNames())
-    return first_wins(keyed, FACT_KEY)
+def history_dates(raw, padded=False, dim_date=None):
+    """Raises where one date carries two seasons; known dates stay as they are."""
+    rows = date_rows(unique_members(observed_dates(raw), "full_date", "season"), padded)
+    if dim_date is None or dim_date.isEmpty():
+        return rows
+    return dim_date.unionByName(insert_if_absent(dim_date, rows, ["date_key"]).select(*dim_date.columns))
 
 
 # Daily load
@@ -198,11 +202,49 @@ def touched_partitions(fact, rows):
     )
 
 
-def new_facts(fact, batch, dim_store, dim_product):
-    """Facts of the batch whose key is not loaded yet."""
-    typed = typed_facts(batch)
-    keyed = lookup_keys(typed, dim_store, dim_product).select(*FACT.fieldNames())
-    return insert_if_absent(touched_partitions(fact, typed), first_wins(keyed, FACT_KEY), FACT_KEY)
+def checked_facts(batch, dim_date, dim_store, dim_product):
+    """Typed rows with their keys and the first rule they break, NULL if none.
+
+    Rules come from the schema: a key without a member of its dimension, a negative measure.
+    """
+    members = {
+        "date_key": dim_date.select("date_key", F.lit(True).alias("_date")),
+        "store_key": dim_store.select("store_id", "store_key"),
+        "product_key": dim_product.select("product_id", "product_key"),
+    }
+    rows = (
+        typed_facts(batch)
+        .join(members["date_key"], "date_key", "left")
+        .join(members["store_key"], "store_id", "left")
+        .join(members["product_key"], "product_id", "left")
+    )
+    rule = F.lit(None).cast("string")
+    for name in reversed(NON_NEGATIVE):
+        rule = F.when(F.col(name) < 0, f"{name} is negative").otherwise(rule)
+    for key, dimension in reversed(FOREIGN_KEYS.items()):
+        found = F.col("_date") if key == "date_key" else F.col(key)
+        rule = F.when(found.isNull(), f"{key} is not in {dimension}").otherwise(rule)
+    return rows.withColumn("rule", rule).drop("_date")
+
+
+def rejected_rows(checked):
+    """Rows (rule, date_key, store_id, product_id, row_count) of all broken rules, repeated keys included.
+
+    Of several good rows with one primary key the first is loaded, the others are counted here.
+    """
+    names = ["date_key", "store_id", "product_id"]
+    broken = checked.where(F.col("rule").isNotNull()).groupBy("rule", *names).agg(F.count("*").alias("row_count"))
+    good = checked.where(F.col("rule").isNull())
+    repeated = duplicate_keys(good, names).select(
+        F.lit("primary key is repeated").alias("rule"), *names, (F.col("copies") - 1).alias("row_count")
+    )
+    return broken.unionByName(repeated)
+
+
+def new_facts(fact, checked):
+    """Facts of the rows without a broken rule whose key is not loaded yet."""
+    keyed = checked.where(F.col("rule").isNull()).select(*FACT.fieldNames())
+    return insert_if_absent(touched_partitions(fact, keyed), first_wins(keyed, FACT_KEY), FACT_KEY)
 
 
 def typed_forecast(raw):
@@ -219,3 +261,8 @@ def newest_snapshot(raw_forecast):
     """With several forecast files only the one forecasted last stays."""
     made_on = raw_forecast.withColumn("made_on", parse_short_date(F.col("Forecasted On")))
     return at_latest(made_on, "made_on").drop("made_on")
+
+
+def forecast_date(raw_forecast):
+    """The newest date the rows were forecasted on, None without rows."""
+    return raw_forecast.agg(F.max(parse_short_date(F.col("Forecasted On")))).first()[0]

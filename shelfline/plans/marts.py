@@ -15,7 +15,7 @@ from shelfline.functions.rules import accuracy_flag, health_status, recommended_
 from shelfline.operators.aggregates import monthly_stock
 from shelfline.operators.filters import short_or_covered
 from shelfline.operators.joins import latest_facts, star_join, with_forecast
-from shelfline.operators.windows import SKU, is_short, running_demand
+from shelfline.operators.windows import SKU, is_short, running_demand, unfolded
 
 HORIZON = 7
 
@@ -71,8 +71,15 @@ def inventory_turnover_monthly(star, exact=False, unique_days=True):
 
 
 def demand_outlook(star, forecast, latest=None):
+    """:func:`folded_outlook` with one row per forecast row, numbered ``rn``."""
+    return unfolded(folded_outlook(star, forecast, latest))
+
+
+def folded_outlook(star, forecast, latest=None):
     """Cumulative forecast demand against effective inventory on the latest fact date.
 
+    Equal forecast rows are folded as in :func:`running_demand`.
+
     The windows run on the forecast before the join. A SKU has one fact row per date, so the
     numbers are the same as after the join and the joined rows keep the windows' partitioning.
     """
@@ -100,7 +107,7 @@ def _contains_row(number):
 
 
 def days_of_supply_candidate():
-    """Days of supply that one row of :func:`demand_outlook` stands for, NULL if none.
+    """Days of supply that one row of :func:`folded_outlook` stands for, NULL if none.
 
     Among folded copies of a forecast row the first one gives the smallest value, except that
     the very first row of a SKU is rated by its own demand alone, so its second copy counts too.
@@ -138,7 +145,7 @@ def sku_outlook(star, forecast, latest=None):
         return F.max(F.when(_contains_row(row_number), F.col("running_total")))
 
     return (
-        demand_outlook(star, forecast, latest)
+        folded_outlook(star, forecast, latest)
         .groupBy(
             *SKU,
             "full_date",
@@ -236,6 +243,13 @@ EXPORT_ORDER = {
     "next_7d_demand": ["full_date", "store_id", "product_id"],
 }
 
+# Columns that split an exported mart into folders; the others are snapshots.
+EXPORT_PARTS = {
+    "inventory_daily_snapshot": ["full_date"],
+    "forecast_deviation": ["full_date"],
+    "inventory_turnover_monthly": ["year", "month"],
+}
+
 
 def define_views(marts):
     """Make the marts readable by name in Spark SQL."""

@@ -100,6 +100,13 @@ FORECAST = _struct(
     ("season", T.StringType()),
     ("demand_forecast", MONEY),
 )
+REJECTED = _struct(
+    ("rule", T.StringType()),
+    ("date_key", T.IntegerType()),
+    ("store_id", T.StringType()),
+    ("product_id", T.StringType()),
+    ("row_count", T.LongType()),
+)
 TRAINING = _struct(
     ("demand_forecast", T.DoubleType()),
     ("price", T.DoubleType()),

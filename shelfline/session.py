@@ -1,6 +1,8 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,11 +39,16 @@ def build_session(master=None, app_name="shelfline", **conf):
 def scratch_dir(spark, label):
     """A new folder name under the shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. Only where that is unset (unit tests on
-    one machine) a local temporary folder is chosen and recorded in the session.
+    The folder comes from ``spark.checkpoint.dir``. Where that is unset, a local master gets a
+    temporary folder, removed at exit; any other master raises, because executors could not
+    read each other's local files.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="shelfline-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(CHECKPOINT_DIR, base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}")

@@ -1,26 +1,53 @@
 """CSV sources and sinks."""
 
+import hashlib
 import os
+from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfline.operators.ordering import export_order
 from shelfline.schemas import RAW_FORECAST, RAW_INVENTORY, SCORING, TRAINING
 
-# Files with this mark in their name hold forecasts, all others inventory,
+# Files with this mark in their path hold forecasts, all others inventory,
 # and the row that is scored when no file is given.
 FORECAST_MARK = "forecast_batch"
 DEFAULT_SCORING_ROW = (500.0, 29.99, 10.0, "Yes", "Sunny", "Summer")
 
 
-def _read(spark, path, schema):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
+def layouts(spark, path, schema):
+    """{column order of the header: [files]} below ``path``; one pass over the lines, one row per file.
+
+    Raises for a file without a header or with one that is not a permutation of the schema's columns.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    is_header = F.lit(True)
+    for name in schema.fieldNames():
+        is_header &= F.col("value").contains(name)
+    heads = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(F.when(is_header, F.col("value"))).alias("header"), F.min("value").alias("line")
     )
+    found = {}
+    for row in heads.toLocalIterator():
+        names = tuple(name.strip('"') for name in (row["header"] or row["line"]).split(","))
+        if sorted(names) != sorted(schema.fieldNames()):
+            raise ValueError(f"{row['file']}: its columns are {names}, not {schema.fieldNames()}")
+        found.setdefault(names, []).append(row["file"])
+    return found
+
+
+def _read(spark, path, schema):
+    """Rows of all files below ``path``, columns taken by the name in each file's header."""
+    frames = []
+    for names, paths in sorted(layouts(spark, path, schema).items()):
+        ordered = StructType([schema[name] for name in names])
+        reader = spark.read.schema(ordered).option("header", True).option("enforceSchema", False)
+        rows = reader.option("mode", "FAILFAST").csv(sorted(paths))
+        frames.append(rows.select(*[F.col(f"`{name}`") for name in schema.fieldNames()]))
+    if not frames:
+        return spark.createDataFrame([], schema)
+    return reduce(lambda left, right: left.unionByName(right), frames)
 
 
 def read_inventory_csv(spark, path):
@@ -31,36 +58,79 @@ def read_forecast_csv(spark, path):
     return _read(spark, path, RAW_FORECAST)
 
 
-def batch_name():
-    """Name of the incoming file (or of the folder a Spark job wrote it as)."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    name = F.element_at(parts, -1)
-    return F.when(name.startswith("part-"), F.element_at(parts, -2)).otherwise(name)
+class Incoming:
+    """The files below a folder at one moment: their paths, routes and a name for the lot.
+
+    A file holds forecasts if the path below the folder contains the mark, else inventory; the
+    batch job and the stream both route by this rule. ``name`` depends on paths, sizes and
+    times of change, so another delivery never gets the name of an earlier one.
+    """
+
+    def __init__(self, spark, folder, paths=None):
+        self.spark, self.folder = spark, folder
+        source = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        listed = source.load(paths if paths is not None else folder)
+        rows = listed.select("path", "length", F.col("modificationTime").cast("string").alias("changed")).collect()
+        self.files = sorted(tuple(row) for row in rows if row["length"])
+        self.name = hashlib.sha256(repr(self.files).encode()).hexdigest()[:16]
+        self.forecast_paths = [path for path, _, _ in self.files if FORECAST_MARK in self.below(path)]
+        self.inventory_paths = [path for path, _, _ in self.files if FORECAST_MARK not in self.below(path)]
+
+    def below(self, path):
+        """The path of a file below the folder."""
+        plain, root = _plain(path), _plain(self.folder).rstrip("/") + "/"
+        return plain[plain.index(root) + len(root) :] if root in plain else os.path.basename(plain)
 
+    def inventory(self):
+        if not self.inventory_paths:
+            return self.spark.createDataFrame([], RAW_INVENTORY)
+        return read_inventory_csv(self.spark, self.inventory_paths)
 
-def is_forecast_batch():
-    return batch_name().contains(FORECAST_MARK)
+    def forecast(self):
+        if not self.forecast_paths:
+            return self.spark.createDataFrame([], RAW_FORECAST)
+        return read_forecast_csv(self.spark, self.forecast_paths)
+
+    def archive(self, target):
+        """Moves these files, and no later ones, below ``target``, keeping their paths."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for path, _, _ in self.files:
+            source = jvm.org.apache.hadoop.fs.Path(path)
+            goal = jvm.org.apache.hadoop.fs.Path(os.path.join(target, self.name, self.below(path)))
+            fs = source.getFileSystem(conf)
+            fs.mkdirs(goal.getParent())
+            if not fs.rename(source, goal):
+                raise OSError(f"{path} could not be moved to {goal}")
+
+
+def folder_exists(spark, path):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+
+
+def _plain(path):
+    """A path without its scheme and host."""
+    return "/" + path.split(":", 1)[1].lstrip("/") if ":" in path.split("/", 1)[0] else path
 
 
 def read_incoming(spark, folder):
-    """The inventory rows and the forecast rows of all incoming files, routed by file name."""
-    return (
-        read_inventory_csv(spark, folder).where(~is_forecast_batch()),
-        read_forecast_csv(spark, folder).where(is_forecast_batch()),
-    )
+    """The inventory rows and the forecast rows of all incoming files, routed by file path."""
+    seen = Incoming(spark, folder)
+    return seen.inventory(), seen.forecast()
 
 
 def incoming_batches(spark, folder):
-    """Incoming batches with their route and row count."""
-    return (
-        read_inventory_csv(spark, folder)
-        .select(batch_name().alias("batch"), is_forecast_batch().alias("forecast"))
-        .groupBy("batch")
-        .agg(
-            F.when(F.max("forecast"), "forecast").otherwise("inventory").alias("route"),
-            F.count("*").alias("rows"),
-        )
-    )
+    """Incoming batches (files or folders right below the folder) with their route and row count."""
+    seen = Incoming(spark, folder)
+    routes = (("inventory", seen.inventory_paths, RAW_INVENTORY), ("forecast", seen.forecast_paths, RAW_FORECAST))
+    top = {path: seen.below(path).split("/")[0] for path, _, _ in seen.files}
+    counted = spark.createDataFrame([], "batch string, route string, rows long")
+    for route, paths, schema in routes:
+        for batch in sorted({top[path] for path in paths}):
+            rows = _read(spark, [path for path in paths if top[path] == batch], schema)
+            named = rows.agg(F.count("*").alias("rows")).select(F.lit(batch).alias("batch"), F.lit(route).alias("route"), "rows")
+            counted = counted.unionByName(named)
+    return counted
 
 
 def write_csv(df, path, mode="errorifexists"):
@@ -79,9 +149,21 @@ def read_scoring_csv(spark, path=None):
     return _read(spark, path, SCORING)
 
 
-def export_marts(marts, folder, order=None):
-    """Write every mart as a folder of CSV files with headers."""
+def export_marts(marts, folder, order=None, parts=None):
+    """Write every mart as CSV files with headers below ``folder``.
+
+    A mart named in ``parts`` is written into one folder per value of the given columns, and
+    only the folders of the values it holds are replaced; within a folder its rows are sorted by
+    ``order``. Other marts are replaced as a whole.
+    """
     for name, mart in marts.items():
-        columns = (order or {}).get(name)
-        write_csv(export_order(mart, *columns) if columns else mart, os.path.join(folder, name), "overwrite")
+        columns, split = (order or {}).get(name), (parts or {}).get(name)
+        path = os.path.join(folder, name)
+        if split:
+            placed = mart.repartition(*split)
+            placed = placed.sortWithinPartitions(*split, *(columns or ()))
+            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
+            writer.partitionBy(*split).csv(path)
+        else:
+            write_csv(export_order(mart, *columns) if columns else mart, path, "overwrite")
     return sorted(marts)

@@ -20,9 +20,12 @@ SCHEMAS = {
     "dwh/dim_product": schemas.DIM_PRODUCT,
     "dwh/fct_inventory_daily": schemas.FACT,
     "dwh/demand_forecast_7d": schemas.FORECAST,
+    "dwh/rejected_facts": schemas.REJECTED,
 }
 FACT_TABLE = "dwh/fct_inventory_daily"
 RAW_INVENTORY_TABLE = "raw/inventory_dump"
+REJECTED_TABLE = "dwh/rejected_facts"
+PER_BATCH = (RAW_INVENTORY_TABLE, REJECTED_TABLE)  # tables of one folder per batch
 
 
 class Warehouse:
@@ -36,19 +39,11 @@ class Warehouse:
     def _hadoop_conf(self):
         return self.spark._jsparkSession.sessionState().newHadoopConf()
 
-    def _list(self, path, *inside):
-        """Names of the sub-folders that contain the ``inside`` entry, oldest first."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self._hadoop_conf())
-        if not fs.exists(folder):
-            return []
-        statuses = [status for status in fs.listStatus(folder) if status.isDirectory()]
-        return sorted(
-            status.getPath().getName()
-            for status in statuses
-            if all(fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), name)) for name in inside)
-        )
+    def _list(self, path, pattern):
+        """Names of the sub-folders that hold an entry of the pattern, oldest first; one listing."""
+        glob = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "*", pattern))
+        statuses = glob.getFileSystem(self._hadoop_conf()).globStatus(glob) or []
+        return sorted({status.getPath().getParent().getName() for status in statuses})
 
     def _committed(self, table):
         return self._list(self.path(table), "_SUCCESS")
@@ -63,7 +58,7 @@ class Warehouse:
         if table == FACT_TABLE:
             return self._load(table, [self.path(table)] if self.fact_dates() else [])
         folders = self._committed(table)
-        if table != RAW_INVENTORY_TABLE:
+        if table not in PER_BATCH:
             folders = folders[-1:]
         return self._load(table, [self.path(table, name) for name in folders])
 
@@ -73,7 +68,7 @@ class Warehouse:
     def fact_dates(self):
         """Date keys of the fact, from its partition folders: no file is opened."""
         prefix = "date_key="
-        names = self._list(self.path(FACT_TABLE))
+        names = self._list(self.path(FACT_TABLE), "*.parquet")
         return [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
 
     def _checked(self, table, df):
@@ -106,6 +101,11 @@ class Warehouse:
         path = self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")
         self._checked(RAW_INVENTORY_TABLE, df).write.mode("overwrite").parquet(path)
 
+    def reject(self, df, batch):
+        """Add the rows of one batch that break a constraint; the same batch again replaces them."""
+        path = self.path(REJECTED_TABLE, f"batch-{batch}")
+        self._checked(REJECTED_TABLE, df).write.mode("overwrite").parquet(path)
+
     def append_fact(self, df):
         """Add new facts, partitioned by date.
 

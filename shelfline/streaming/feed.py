@@ -1,74 +1,105 @@
-"""The daily file feed as a stream of micro-batches."""
+"""The daily file feed as a stream of micro-batches.
+
+The stream finds new files exactly once; each micro-batch reads its files as the batch job does:
+routed by the same rule, columns by header name, a broken line being an error.
+"""
 
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfline.functions.dates import parse_short_date
-from shelfline.plans.daily import load_batch
+from shelfline.operators.aggregates import first_wins
+from shelfline.operators.joins import insert_if_absent
+from shelfline.plans.daily import load_delivery
 from shelfline.schemas import RAW_INVENTORY
+from shelfline.sources.files import Incoming, folder_exists
 
-# Fixed value: inventory files are named by their date, forecast files start with a word.
-INVENTORY_FILES = "[0-9]*"
+LINES = "value string"
+RAW_KEY = ["full_date", "Store ID", "Product ID"]
 
 
-def read_feed(spark, folder, archive=None, files_per_batch=None):
-    """Inventory files of a folder as a stream; processed files move to ``archive``.
+class Feed:
+    """The files of a folder as a stream; processed files move to ``archive``.
 
     Archiving runs one micro-batch behind: the checkpoint alone makes each file load once.
     """
-    reader = spark.readStream.schema(RAW_INVENTORY).option("header", True)
-    if archive is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(os.path.join(folder, INVENTORY_FILES))
 
+    def __init__(self, spark, folder, archive=None, files_per_batch=None):
+        self.spark, self.folder = spark, folder
+        reader = spark.readStream.schema(LINES).option("recursiveFileLookup", True)
+        if archive is not None:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+        if files_per_batch is not None:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        self.lines = reader.text(folder)
+
+    def each(self, handle, checkpoint):
+        """Calls ``handle`` with the :class:`Incoming` of each micro-batch, until none waits."""
+        paths = self.lines.select(F.col("_metadata.file_path").alias("path"))
+
+        def run(rows, _):
+            found = sorted(row["path"] for row in rows.distinct().collect())
+            if found:
+                handle(Incoming(self.spark, self.folder, found))
+
+        writer = paths.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+
+
+def read_feed(spark, folder, archive=None, files_per_batch=None):
+    return Feed(spark, folder, archive, files_per_batch)
+
+
+def _batch_path(folder, incoming):
+    return os.path.join(folder, f"batch={incoming.name}")
 
-def first_per_key(feed, lateness="7 days"):
-    """One row per date, store and product within the allowed lateness.
 
-    State is dropped once the watermark passes a date, and Spark then discards later rows of
-    that date. Feeds without such a bound go straight to :func:`load_feed`, which keeps rows of
-    any age: its key check against the fact makes the first row win without any state.
+def land_feed(feed, folder, checkpoint, shape=None):
+    """Write the inventory of the feed to Parquet exactly once, one folder per micro-batch.
+
+    The folder's name depends on the files, so a repeated micro-batch replaces itself alone.
     """
-    event_time = parse_short_date(F.col("Date")).cast("timestamp")
-    return (
-        feed.withColumn("event_time", event_time)
-        .withWatermark("event_time", lateness)
-        .dropDuplicates(["event_time", "Store ID", "Product ID"])
-        .drop("event_time")
-    )
+
+    def land(incoming):
+        if incoming.inventory_paths:
+            rows = incoming.inventory()
+            rows = shape(rows, incoming) if shape else rows
+            rows.write.mode("overwrite").parquet(_batch_path(folder, incoming))
+
+    return feed.each(land, checkpoint)
 
 
-def run_to_end(writer):
-    """Process everything that is waiting, then stop."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+def landed(spark, folder):
+    """The rows that :func:`land_feed` has written so far."""
+    return spark.read.schema(StructType([*RAW_INVENTORY, StructField("batch", StringType())])).parquet(folder)
 
 
-def land_feed(feed, folder, checkpoint):
-    """Write the feed to Parquet exactly once."""
-    return run_to_end(
-        feed.writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-    )
+def land_first(feed, folder, checkpoint):
+    """As :func:`land_feed`, with the first row per date, store and product only.
+
+    Rows of any age count: within a micro-batch the first row wins, and rows whose key an earlier
+    micro-batch has landed are left out, so no state is kept and none expires.
+    """
+    dated = {"full_date": parse_short_date(F.col("Date"))}
+
+    def first_only(rows, incoming):
+        mine = first_wins(rows.withColumns(dated), RAW_KEY)
+        if not folder_exists(feed.spark, folder):
+            return mine.select(*RAW_INVENTORY.fieldNames())
+        earlier = landed(feed.spark, folder).where(F.col("batch") != incoming.name)
+        return insert_if_absent(earlier.withColumns(dated), mine, RAW_KEY).select(*RAW_INVENTORY.fieldNames())
+
+    return land_feed(feed, folder, checkpoint, first_only)
 
 
 def load_feed(feed, warehouse, checkpoint):
-    """Load each micro-batch into raw, dimensions and fact.
+    """Load each micro-batch into raw, dimensions, fact and forecast snapshot.
 
     A micro-batch that is repeated after a failure rewrites its own raw folder and finds its
     facts present already.
     """
-
-    def load(rows, batch_id):
-        if rows.isEmpty():
-            return
-        name = f"stream-{batch_id:08d}"
-        warehouse.append_raw(rows, name)
-        load_batch(warehouse, warehouse.raw_batch(name))
-
-    return run_to_end(feed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
+    return feed.each(lambda incoming: load_delivery(warehouse, incoming), checkpoint)

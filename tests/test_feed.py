@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 import builders
 from shelfline.plans import daily, marts
 from shelfline.session import scratch_dir
@@ -40,7 +42,7 @@ def test_each_file_lands_once_and_is_archived(spark):
     for day in ("8", "9", "10"):
         drop(spark, incoming, f"2024030{day}.csv", builders.raw_row(day=f"{day}/3/24"))
         feed.land_feed(feed.read_feed(spark, incoming, archive), landed, checkpoint)
-    assert spark.read.parquet(landed).count() == 3
+    assert feed.landed(spark, landed).count() == 3
     archived = [name for _, _, names in os.walk(archive) for name in names if name.endswith(".csv")]
     assert archived  # archiving runs one micro-batch behind
 
@@ -54,7 +56,7 @@ def test_forecast_files_stay_out_of_the_inventory_feed(spark):
         os.path.join(incoming, "forecast_batch_20240309.csv"),
     )
     feed.land_feed(feed.read_feed(spark, incoming), landed, os.path.join(base, "checkpoint"))
-    assert spark.read.parquet(landed).count() == 1
+    assert feed.landed(spark, landed).count() == 1
 
 
 def test_first_row_per_key(spark):
@@ -62,9 +64,11 @@ def test_first_row_per_key(spark):
     incoming, landed = os.path.join(base, "incoming"), os.path.join(base, "landed")
     row = builders.raw_row()
     drop(spark, incoming, "20240309.csv", row, row, builders.raw_row(product="P2"))
-    stream = feed.first_per_key(feed.read_feed(spark, incoming))
-    feed.land_feed(stream, landed, os.path.join(base, "checkpoint"))
-    assert spark.read.parquet(landed).count() == 2
+    checkpoint = os.path.join(base, "checkpoint")
+    feed.land_first(feed.read_feed(spark, incoming), landed, checkpoint)
+    drop(spark, incoming, "old.csv", row, builders.raw_row(day="1/1/20"))
+    feed.land_first(feed.read_feed(spark, incoming), landed, checkpoint)
+    assert feed.landed(spark, landed).count() == 3
 
 
 def test_late_rows_still_reach_the_fact(spark):
@@ -75,3 +79,26 @@ def test_late_rows_still_reach_the_fact(spark):
         drop(spark, incoming, name, builders.raw_row(day=day))
         feed.load_feed(feed.read_feed(spark, incoming), warehouse, checkpoint)
     assert warehouse.fact_dates() == [20230101, 20240309]
+
+
+def test_a_second_feed_keeps_the_raw_rows_of_the_first(spark):
+    base = scratch_dir(spark, "feed")
+    warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
+    for name, day in (("one", "1/1/24"), ("two", "2/1/24")):
+        drop(spark, os.path.join(base, name), "20240101.csv", builders.raw_row(day=day))
+        feed.load_feed(feed.read_feed(spark, os.path.join(base, name)), warehouse, os.path.join(base, "checkpoint", name))
+    assert warehouse.read("raw/inventory_dump").count() == 2
+
+
+def test_a_broken_line_stops_the_feed(spark):
+    base = scratch_dir(spark, "feed")
+    incoming = os.path.join(base, "incoming")
+    drop(spark, incoming, "20240309.csv", builders.raw_row())
+    folder = os.path.join(incoming, "20240309.csv")
+    part = next(name for name in os.listdir(folder) if name.startswith("part-"))
+    with open(os.path.join(folder, part)) as source:
+        text = source.read()
+    with open(os.path.join(incoming, "short.csv"), "w") as target:
+        target.write(text + "09/03/24,S1\n")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED|Malformed"):
+        feed.land_feed(feed.read_feed(spark, incoming), os.path.join(base, "landed"), os.path.join(base, "checkpoint"))

@@ -161,7 +161,8 @@ def test_writes_enforce_constraints(spark, warehouse):
 def test_daily_run(spark, warehouse):
     base = scratch_dir(spark, "incoming")
     export = scratch_dir(spark, "export")
-    assert daily.run_daily(spark, warehouse, _empty_folder(spark, base), "none") is None
+    os.makedirs(os.path.join(base, "empty"))
+    assert daily.run_daily(spark, warehouse, os.path.join(base, "empty")) is None
     first = os.path.join(base, "first")
     files.write_csv(
         builders.raw(spark, builders.raw_row(), builders.raw_row(day="8/3/24")),
@@ -171,26 +172,108 @@ def test_daily_run(spark, warehouse):
     files.write_csv(
         builders.raw_forecast(spark, *forecast), os.path.join(first, "forecast_batch_20240309.csv")
     )
-    counts = daily.run_daily(spark, warehouse, first, "20240309", export)
-    assert counts == {"inventory_dump": 2, "demand_forecast_7d": 7}
-    assert warehouse.fact_dates() == [20240309]  # the older date of the same delivery is skipped
+    archive = os.path.join(base, "archive")
+    counts = daily.run_daily(spark, warehouse, first, "2024-03-09", export, archive)
+    assert counts[0] == {"inventory_dump": 2, "demand_forecast_7d": 7}
+    assert counts[1] == [20240308, 20240309] == warehouse.fact_dates()
     health = spark.table("inventory_health").collect()
     assert [(r.product_id, r.effective_inventory, r.dos) for r in health] == [("P1", 55, Decimal("2.60"))]
-    exported = spark.read.option("header", True).csv(os.path.join(export, "20240309", "inventory_health"))
+    exported = spark.read.option("header", True).csv(os.path.join(export, "inventory_health"))
     assert exported.first()["inventory_health_status"] == "Healthy"
+    assert daily.run_daily(spark, warehouse, first, "2024-03-10", export, archive) is None
+    assert os.listdir(archive) == ["20240309"]
 
     late = os.path.join(base, "late")
     files.write_csv(builders.raw(spark, builders.raw_row(day="7/3/24")), os.path.join(late, "20240307.csv"))
-    daily.run_daily(spark, warehouse, late, "late")
-    assert warehouse.fact_dates() == [20240309]
-    daily.run_daily(spark, warehouse, late, "late", latest_only=False)
-    assert warehouse.fact_dates() == [20240307, 20240309]
+    counts, touched = daily.run_daily(spark, warehouse, late, latest_only=True)
+    assert (counts["left_out"], touched) == (1, [])
+    _, touched = daily.run_daily(spark, warehouse, late, export_folder=export)
+    assert touched == [20240307] and warehouse.fact_dates() == [20240307, 20240308, 20240309]
+    days = spark.read.option("header", True).csv(os.path.join(export, "inventory_daily_snapshot"))
+    assert sorted(str(r.full_date) for r in days.collect()) == ["2024-03-07", "2024-03-08", "2024-03-09"]
 
 
-def _empty_folder(spark, base):
-    path = os.path.join(base, "empty")
-    builders.raw(spark).write.option("header", True).csv(os.path.join(path, "20240309.csv"))
-    return path
+def test_export_reads_only_touched_dates(spark, warehouse):
+    for number in range(1, 5):
+        daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(day=f"{number}/3/24")))
+    exported = daily.touched_marts(warehouse.star(), warehouse.forecast(), [20240303], 20240304)
+    for name in ("inventory_daily_snapshot", "forecast_deviation"):
+        plan = exported[name]._jdf.queryExecution().executedPlan().toString()
+        assert "20240303" in plan.split("PartitionFilters: [")[1].split("]")[0], name
+        assert exported[name].count() == 1
+
+
+def test_columns_are_taken_by_header_name(spark):
+    path = scratch_dir(spark, "orders")
+    row = builders.raw(spark, builders.raw_row(**{"Inventory Level": "100", "Units Sold": "7"}))
+    files.write_csv(row, os.path.join(path, "a"))
+    files.write_csv(row.select(*[f"`{name}`" for name in reversed(row.columns)]), os.path.join(path, "b"))
+    read = files.read_inventory_csv(spark, path)
+    assert [(r["Inventory Level"], r["Units Sold"]) for r in read.collect()] == [("100", "7")] * 2
+    files.write_csv(row.drop("Units Sold"), os.path.join(path, "c"))
+    with pytest.raises(ValueError, match="its columns are"):
+        files.read_inventory_csv(spark, path)
+
+
+def test_routes_follow_one_rule(spark):
+    base = scratch_dir(spark, "routes")
+    files.write_csv(builders.raw(spark, builders.raw_row()), os.path.join(base, "store_20240101.csv"))
+    made = builders.raw_forecast(spark, builders.raw_forecast_row())
+    files.write_csv(made, os.path.join(base, "part-north_forecast_batch_20240101.csv"))
+    assert sorted(tuple(r) for r in files.incoming_batches(spark, base).collect()) == [
+        ("part-north_forecast_batch_20240101.csv", "forecast", 1),
+        ("store_20240101.csv", "inventory", 1),
+    ]
+
+
+def test_history_may_be_loaded_again(spark, warehouse):
+    history = builders.raw(spark, builders.raw_row(day="8/3/24"))
+    daily.load_history(warehouse, history)
+    daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(product="P2"), builders.raw_row(product="P3")))
+    keys = sorted(map(tuple, warehouse.read("dwh/dim_product").collect()))
+    once = facts_of(warehouse)
+    daily.load_history(warehouse, history)
+    assert sorted(map(tuple, warehouse.read("dwh/dim_product").collect())) == keys
+    assert facts_of(warehouse) == once
+    assert warehouse.read("raw/inventory_dump").count() == 1
+
+
+def test_bad_rows_are_rejected_and_marts_still_read(spark, warehouse):
+    batch = builders.raw(
+        spark,
+        builders.raw_row(),
+        builders.raw_row(product="P2", **{"Demand Forecast": "-5.0", "Units Sold": "0"}),
+        builders.raw_row(product="P3"),
+        builders.raw_row(product="P3"),
+    )
+    daily.load_batch(warehouse, batch, "b1")
+    daily.load_batch(warehouse, batch, "b1")
+    rejected = {r.rule: r.row_count for r in warehouse.read("dwh/rejected_facts").collect()}
+    assert rejected == {"demand_forecast is negative": 1, "primary key is repeated": 1}
+    assert marts.forecast_deviation(warehouse.star()).count() == 2
+
+
+def test_an_older_snapshot_does_not_replace_a_newer_one(spark, warehouse):
+    newer = builders.raw_forecast(spark, builders.raw_forecast_row(made="10/03/24"))
+    older = builders.raw_forecast(spark, builders.raw_forecast_row(made="09/03/24"))
+    assert daily.load_snapshot(warehouse, newer) == 1
+    assert daily.load_snapshot(warehouse, older) == 0
+    assert [str(r.forecasted_on) for r in warehouse.forecast().collect()] == ["2024-03-10"]
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    class Cluster:
+        master = "yarn"
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Cluster(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
 
 
 def test_scoring_default_row(spark):
