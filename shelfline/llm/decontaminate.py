@@ -42,9 +42,14 @@ BATCH_CHARS = 2 << 20
 LEAK = "item_id long, cosine double, lcs_share double, answer_found boolean"
 
 
+def hashed(texts):
+    """Word hashes of lower-cased texts without punctuation, and where each text's begin."""
+    return word_hashes([text.lower() if text is not None else None for text in texts], PUNCTUATED)
+
+
 def split_items(texts):
     """Word hashes of each text as a list of arrays."""
-    words, offsets = word_hashes(texts, PUNCTUATED)
+    words, offsets = hashed(texts)
     return [words[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
@@ -75,7 +80,7 @@ def document_frequencies(docs, text_col, vocabulary):
         lookup, rows = Lookup(known), max(1, (1 << 24) // len(known))
         totals = np.zeros(len(known), np.int64)
         for frame in byte_batches(batches, "text", BATCH_CHARS):
-            words, offsets = word_hashes(frame["text"], PUNCTUATED)
+            words, offsets = hashed(frame["text"])
             place, at = lookup(words)
             owner = np.searchsorted(offsets, place, side="right") - 1
             for begin in range(0, len(frame), rows):
@@ -194,7 +199,7 @@ class Searcher:
 
     def search(self, texts):
         """Per text its leaks as (item_id, cosine, lcs_share, answer_found), by item."""
-        words, offsets = word_hashes(texts, PUNCTUATED)
+        words, offsets = hashed(texts)
         leaks = [{} for _ in texts]
         for text, window, item, cosine in zip(*(c.tolist() for c in self.candidates(words, offsets))):
             wanted = self.items[item]

@@ -126,8 +126,7 @@ class Parser:
             broken = then == 0
             if at:
                 counts[:, :active] += broken
-            fresh = self.step[start + symbol]
-            fresh = np.where(fresh == 0, start // width, fresh)  # a symbol unseen there is a phrase of its own
+            fresh = self.step[start + symbol]  # 0, from where nothing leads on, after a symbol unseen there
             state[:, :active] = np.where(broken, fresh, then) * width
         total = np.stack([np.bincount(owner, row, len(texts)) for row in counts], axis=1)
         return total, sizes
