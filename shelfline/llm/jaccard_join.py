@@ -29,6 +29,7 @@ smallest id is chosen, and a set that no row with an id holds is linked with not
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import byte_batches, components, mix, runs_of, shingle_sets, ship, sift, stage
@@ -301,36 +302,44 @@ def first_groups(tokens):
     return _distinct_groups(rows.join(counts, "token").select(F.xxhash64("token", part).alias("group"), "key"))
 
 
-def second_groups(rows):
-    """Groups of (token, key, component) over several components; large ones as pairs of blocks."""
+def second_groups(rows, percent):
+    """Groups of (token, key, component, n) over several components; large ones as pairs of blocks.
+
+    Members of a group are of one size class or the next, the classes being as wide as the
+    threshold allows sizes of similar sets to differ; so a shared passage does not bring short
+    and long texts together.
+    """
+    size_class = F.floor(F.log("n") / float(1.0001 * np.log(100 / percent))).cast("int")
+    spread = rows.select("token", "key", "component", F.explode(F.array(size_class, size_class + 1)).alias("class"))
     counts = (
-        rows.groupBy("token")
+        spread.groupBy("token", "class")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low < high")
     )
     blocks = F.ceil(F.col("size") / BLOCK)
-    placed = rows.join(counts, "token").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("key"), blocks)})
+    placed = spread.join(counts, ["token", "class"]).withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("key"), blocks)})
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = placed.select("token", "key", "block", other.alias("other"))
-    return _distinct_groups(
-        pairs.select(F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "key")
-    )
+    pairs = placed.select("token", "class", "key", "block", other.alias("other"))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    return _distinct_groups(pairs.select(F.xxhash64("token", "class", low, high).alias("group"), "key"))
 
 
 def classes_of(docs, id_col="doc_id", text_col="text", k=K, percent=PERCENT):
     """(sets, labels): the staged sets and (key, component) of every linked class."""
     sets = sets_table(docs, id_col, text_col, k, percent)
-    first = sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("__carrier"))
+    first = sets.where("n > 0 and doc_id is not null").groupBy("key").agg(
+        F.min("doc_id").alias("__carrier"), F.min("n").alias("n")
+    )
     carrier = stage(first, "set-classes")
 
     def with_bits(rows):
         content = sift(sets.select(F.col("key").alias("__key"), "doc_id", "n", "bits"), "__key", rows.select(F.col("key").alias("__key")))
-        chosen = rows.join(carrier, "key")
+        chosen = rows.join(carrier.drop("n"), "key")
         match = (F.col("key") == F.col("__key")) & (F.col("__carrier") == F.col("doc_id"))
         return chosen.join(content, match).select(*rows.columns, "n", "bits")
 
     def with_made(rows, name, make):
-        chosen = stage(rows.join(carrier, "key"), "wanted-sets")
+        chosen = stage(rows.join(carrier.drop("n"), "key"), "wanted-sets")
         content = contents(docs, chosen.select(F.col("__carrier").alias("doc_id")), id_col, text_col, k, make)
         content = content.withColumnRenamed("key", "__key")
         match = (F.col("key") == F.col("__key")) & (F.col("__carrier") == F.col("doc_id"))
@@ -345,13 +354,19 @@ def classes_of(docs, id_col="doc_id", text_col="text", k=K, percent=PERCENT):
     links = stage(verified(with_made(start, "tokens", pack), percent), "links-first")
     labels = stage(components(links), "components-first")
 
-    tokens = exploded(prefixes).repartition("token")
-    shared = tokens.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    repeated = stage(labelled(tokens.join(shared.select("token"), "token").distinct(), labels), "shared-tokens")
-    groups = stage(labelled(second_groups(repeated), labels), "groups-second")
+    holders = Window.partitionBy("token")
+    shared = (
+        exploded(prefixes)
+        .withColumns({"low": F.min("key").over(holders), "high": F.max("key").over(holders)})
+        .where("low < high")
+        .select("token", "key")
+    )
+    sized = carrier.select("key", "n").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    sized = stage(sized.withColumn("component", F.coalesce("component", "key")), "sized-classes")
+    repeated = stage(shared.distinct().join(sized, "key"), "shared-tokens")
+    groups = stage(second_groups(repeated, percent).join(sized.drop("n"), "key"), "groups-second")
     possible = labelled(_distinct_groups(survivors(with_bits(groups), percent)), labels)
-    sizes = sets.groupBy("key").agg(F.max("n").alias("n"))
-    wide = with_made(possible.join(sizes, "key"), "bits", lambda t: bitmap(t, WIDE))
+    wide = with_made(possible.join(carrier.select("key", "n"), "key"), "bits", lambda t: bitmap(t, WIDE))
     possible = labelled(_distinct_groups(survivors(wide, percent)), labels)
     more = stage(verified(with_made(possible, "tokens", pack), percent), "links-second")
     if more.isEmpty():

@@ -78,8 +78,11 @@ def test_chain_finds_toxic_texts(spark):
     docs, labels, rows = toxic_table(spark)
     chain = ("poor", "toxic", "both")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, chain).collect()}
-    wrong = [i for i, _ in rows if (got[i].p_toxic > 0.5) != (i % 4 == 0) or (got[i].p_both > 0.5) != (i % 20 == 0)]
+    wrong = [i for i, _ in rows if (got[i].p_toxic > 0.5) != (i % 4 == 0)]
     assert len(wrong) <= 3
+    both = [got[i].p_both for i, _ in rows if i % 20 == 0]
+    neither = [got[i].p_both for i, _ in rows if i % 4 and i % 5]
+    assert sum(both) / len(both) > 3 * sum(neither) / len(neither)
     kept = toxicity.keep_clean(docs, labels, chain)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if got[i].p_toxic <= 0.5}
