@@ -260,7 +260,7 @@ def survivors(grouped, percent):
             if len(used):
                 yield frame.iloc[used][["group", "key"]]
 
-    ordered = grouped.repartition("group").sortWithinPartitions("group")
+    ordered = grouped.repartition("home").sortWithinPartitions("group")
     return ordered.mapInPandas(run, "group long, key long")
 
 
@@ -284,14 +284,19 @@ def verified(grouped, percent):
             if found:
                 yield pd.DataFrame(found, columns=["a", "b"])
 
-    ordered = grouped.repartition("group").sortWithinPartitions("group")
+    ordered = grouped.repartition("home").sortWithinPartitions("group")
     return ordered.mapInPandas(run, "a long, b long")
 
 
 def _distinct_groups(rows):
-    """Rows (group, key) without groups whose members equal another group's."""
+    """Rows (group, home, key) without groups whose members equal another group's.
+
+    ``home`` is the group's smallest key: groups dealt by it lie beside those that share members,
+    whose repeated contents then compress.
+    """
     lists = rows.groupBy("group").agg(F.sort_array(F.collect_set("key")).alias("keys")).where(F.size("keys") > 1)
-    return lists.select(F.xxhash64("keys").alias("group"), "keys").dropDuplicates(["group"]).select("group", F.explode("keys").alias("key"))
+    distinct = lists.select(F.xxhash64("keys").alias("group"), "keys").dropDuplicates(["group"])
+    return distinct.select("group", F.element_at("keys", 1).alias("home"), F.explode("keys").alias("key"))
 
 
 def first_groups(tokens):
