@@ -60,7 +60,8 @@ def test_awkward_rows_and_first_of_each_class(spark):
     got = sorted(map(tuple, jaccard_join.near_duplicate_classes(docs).collect()), key=repr)
     known = components([row for row in cases.AWKWARD if row[0] is not None])
     assert [row for row in got if row[0] is not None] == sorted(known, key=repr)
-    assert sorted(row[1:] for row in got if row[0] is None) == sorted([(0, None), (len(shingles(cases.SENTENCE)), 3)], key=repr)[::-1] or True
+    without_id = sorted((row[1:] for row in got if row[0] is None), key=repr)
+    assert without_id == sorted([(0, None), (len(shingles(cases.SENTENCE)), 3)], key=repr)
     kept = jaccard_join.keep_first(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
