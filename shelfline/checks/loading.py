@@ -87,6 +87,11 @@ def write_incoming(spark, sf_dir, folder):
     return folder
 
 
+def write_last_day(spark, sf_dir, folder):
+    files.write_csv(raw_last_day(spark, sf_dir), os.path.join(folder, "19950128.csv"))
+    files.write_csv(raw_forecast(spark, sf_dir), os.path.join(folder, "forecast_batch_19950128.csv"))
+
+
 # Sources and sinks
 
 
@@ -398,8 +403,7 @@ def daily_run(spark, sf_dir):
     incoming = os.path.join(base, "incoming")
     warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
     daily.load_history(warehouse, raw_history(spark, sf_dir))
-    files.write_csv(raw_last_day(spark, sf_dir), os.path.join(incoming, "19950128.csv"))
-    files.write_csv(raw_forecast(spark, sf_dir), os.path.join(incoming, "forecast_batch_19950128.csv"))
+    write_last_day(spark, sf_dir, incoming)
     for _ in range(2):
         daily.run_daily(
             spark, warehouse, incoming, "1995-01-28", os.path.join(base, "export"), os.path.join(base, "archive")
