@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -110,6 +111,51 @@ def test_repeated_passages_are_covered(spark):
     assert set(need) <= set(have) and missed <= 0.02 * sum(map(len, need.values()))
 
 
+def lost_words(spark, rows):
+    """Words of ``covered`` that no passage holds, by document."""
+    have = {}
+    for r in substring_dedup.repeated_passages(cases.documents(spark, rows)).collect():
+        have.setdefault(r.doc_id, set()).update(range(r.start, r.stop))
+    lost = {doc: need - have.get(doc, set()) for doc, need in covered(rows).items()}
+    return {doc: words for doc, words in lost.items() if words}
+
+
+def changed(rng, passage, every):
+    """``passage`` with every ``every``-th word changed."""
+    return [f"new{rng.randrange(10**9)}" if i % every == every - 1 else word for i, word in enumerate(passage)]
+
+
+def test_passages_with_changed_words_are_found(spark):
+    rng = random.Random(4)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    rows, planted = [], {}
+    for every in (5, 6, 8, 10, 12):
+        for size in (60, 200):
+            for _ in range(10):
+                passage = text(size)
+                rows.append((len(rows), " ".join(text(40) + passage + text(30))))
+                planted[len(rows)] = (len(rows) - 1, every, size)
+                rows.append((len(rows), " ".join(text(70) + changed(rng, passage, every) + text(20))))
+    found = {}
+    for r in substring_dedup.repeated_passages(cases.documents(spark, rows)).collect():
+        assert r.n_words >= 50 and r.n_equal >= 0.8 * r.n_words
+        found.setdefault((r.doc_id, r.ref_id), set()).update(range(r.start, r.stop))
+    assert set(found) <= {(doc, ref) for doc, (ref, _, _) in planted.items()}
+    for every in (5, 6, 8, 10, 12):
+        mine = [(doc, ref, size) for doc, (ref, e, size) in planted.items() if e == every]
+        whole = [len(found.get((doc, ref), set()) & set(range(70, 70 + size))) >= 0.8 * size for doc, ref, size in mine]
+        assert sum(whole) >= 0.9 * len(whole), every
+
+
+def test_an_equal_part_of_a_chain_that_differs_too_much_counts(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    equal, rest = text(60), text(240)
+    far = [word for i in range(0, 240, 12) for word in rest[i : i + 5] + text(7)]
+    rows = [(1, " ".join(equal + rest)), (2, " ".join(equal + far))]
+    assert not lost_words(spark, rows)
+
+
 def test_passages_of_awkward_rows(spark):
     docs = cases.documents(spark, cases.AWKWARD)
     got = substring_dedup.repeated_passages(docs).collect()
