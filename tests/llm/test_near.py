@@ -156,6 +156,18 @@ def test_an_equal_part_of_a_chain_that_differs_too_much_counts(spark):
     assert not lost_words(spark, rows)
 
 
+@pytest.mark.parametrize("size", [60, 500])
+@pytest.mark.parametrize("period", [1, 3, 16, 24])
+def test_passages_that_repeat_a_phrase_are_covered(spark, size, period):
+    rng = random.Random(period)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    phrase = text(period)
+    run = lambda n: [phrase[i % period] for i in range(n)]
+    rows = [text(20) + run(20) + text(20), text(20) + run(size) + text(20), text(20) + run(30) + text(9)]
+    rows += [text(30) + run(size) + text(10), run(size + 21), text(5) + run(3 * size + 40), run(7) + text(30) + run(size - 5)]
+    assert not lost_words(spark, [(i, " ".join(words)) for i, words in enumerate(rows)])
+
+
 def test_passages_of_awkward_rows(spark):
     docs = cases.documents(spark, cases.AWKWARD)
     got = substring_dedup.repeated_passages(docs).collect()
