@@ -125,6 +125,18 @@ def changed(rng, passage, every):
     return [f"new{rng.randrange(10**9)}" if i % every == every - 1 else word for i, word in enumerate(passage)]
 
 
+def test_the_nearest_holder_counts_however_far_it_is(spark):
+    rng = random.Random(8)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(10):
+        left, right = text(30), text(30)
+        halves = [text(40) + left + text(40), text(40) + right + text(40)]
+        whole = [text(40) + left + right + text(40) for _ in range(2)]
+        rows += [(i + at, " ".join(words)) for at, words in zip((0, 5000, 10_000, 20_000), halves + whole)]
+    assert not lost_words(spark, rows)
+
+
 def test_passages_with_changed_words_are_found(spark):
     rng = random.Random(4)
     text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
