@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, secrets, substring_dedup, token_files, toxicity
+from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, line_dedup, secrets, substring_dedup, token_files, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -118,3 +118,45 @@ def op6_decontaminate(spark, sf_dir):
 @query("op2_substring_dedup")
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def _license_sql():
+    """Every block of every text against every template, by plain list intersection."""
+    clean = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    quoted = [(label, " ".join(text.lower().split()).replace("'", "''")) for label, text in license_scan.TEMPLATES]
+    templates = ", ".join(f"('{label}', '{text}')" for label, text in quoted)
+    phrases = ", ".join(f"('{label}', '{phrase}')" for phrase, label in license_scan.PHRASES.items())
+    return f"""
+    with words as (
+        select doc_id, row_number() over () as r, {clean.format(FOLDED)} as w from documents),
+    templates as (
+        select label, list_distinct(w) as t, greatest({license_scan.LEAST_CLASS}, pow(2, ceil(log2(len(w))))::bigint) as width
+        from (select label, {clean.format('notice')} as w from (values {templates}) v(label, notice))),
+    widths as (select distinct width from templates),
+    blocks as (
+        select r, width, list_distinct(w[i * width + 1 : i * width + 2 * width]) as held
+        from (select r, w, width, unnest(range(0, greatest(1, (len(w) - 1) // width))) as i from words, widths)),
+    matches as (
+        select r, label, len(list_intersect(held, t)) as shared, len(t) as n
+        from blocks join templates using (width)),
+    found as (
+        select r, list(distinct label) as more, max(shared / n) as best
+        from matches where 100 * shared >= {license_scan.PERCENT} * n group by r),
+    phrases as (select label, string_split(phrase, ' ') as p from (values {phrases}) v(label, phrase)),
+    places as (
+        select r, label, i from (select r, w, label, p, unnest(range(0, len(w) - len(p) + 1)) as i from words, phrases)
+        where w[i + 1 : i + len(p)] = p),
+    base as (
+        select r, count(*) as n_base, min(i) as first_word, max(i) as last_word, list(distinct label) as labels
+        from places group by r)
+    select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+           coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more, [])))), ','), '') as labels,
+           case when n_base > 0 then 1.0 else coalesce(best, 0.0) end as score
+    from words left join base using (r) left join found using (r)
+    """
+
+
+@query("op12_license_scan", _license_sql())
+def op12_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
