@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, line_dedup, secrets, substring_dedup, token_files, toxicity
+from shelfline.llm import (
+    bpe,
+    conversation_trie,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    lexical_search,
+    license_scan,
+    line_dedup,
+    secrets,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from shelfline.llm.common import table
 from shelfline.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -160,3 +174,75 @@ def _license_sql():
 @query("op12_license_scan", _license_sql())
 def op12_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_conversation_trie",
+    """
+    with turns as (
+        select conv_id, coalesce(text, '') as text, md5(concat(length(coalesce(role, '')), ':', role, ':', text)) as mark,
+               row_number() over (partition by conv_id order by turn nulls first, role, text) as k
+        from conversations where conv_id is not null),
+    convs as (select distinct conv_id from turns),
+    bits as (
+        select conv_id, list_concat([4294967295], flatten(list_transform(string_split(conv_id::varchar, ''),
+               lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))) as parts from convs),
+    heads as (
+        select conv_id, xor(list_reduce(parts, lambda crc, part:
+               case when part < 0 then xor(crc >> 1, (crc & 1) * 3988292384) else xor(crc, part) end), 4294967295) % 6 as h
+        from bits),
+    rebuilt as (
+        select heads.conv_id, k, mark, text from heads join turns on turns.conv_id = heads.conv_id - heads.conv_id % 100 and k <= h
+        union all
+        select conv_id, k, mark, text from heads join turns using (conv_id) where k > h),
+    paths as (
+        select conv_id, coalesce(list(mark order by k) filter (k is not null), []) as marks,
+               coalesce(list(length(text) order by k) filter (k is not null), []) as sizes
+        from convs left join rebuilt using (conv_id) group by conv_id),
+    members as (select conv_id, marks, sizes, unnest(range(0, len(marks) + 1)) as depth from paths),
+    nodes as (
+        select array_to_string(marks[1 : depth], ' ') as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+               any_value(marks[1 : depth]) as marks, (count(*) - 1) * coalesce(max(sizes[depth]), 0) as own,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = len(marks)), '')) as ends_sha256
+        from members group by 1, 2),
+    linked as (select *, case when depth > 0 then array_to_string(marks[1 : depth - 1], ' ') end as parent from nodes),
+    children as (select parent as node, depth - 1 as depth, count(*) as n_children from linked where depth > 0 group by 1, 2),
+    tree as (select linked.*, coalesce(n_children, 0) as n_children from linked left join children using (node, depth)),
+    above as (select n_children, own, marks, unnest(range(0, depth + 1)) as up from tree),
+    totals as (
+        select array_to_string(marks[1 : up], ' ') as node, up as depth, count(*) filter (n_children = 0) as n_leaves, sum(own)::bigint as saved_tokens
+        from above group by 1, 2)
+    select tree.conv_id, tree.depth, p.conv_id as parent_conv_id, tree.n_convs, tree.n_children, n_leaves, saved_tokens, tree.ends_sha256
+    from tree join totals using (node, depth) left join nodes p on p.node = tree.parent and p.depth = tree.depth - 1
+    """,
+)
+def op11_conversation_trie(spark, sf_dir):
+    turns = conversation_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.shared_heads(turns))
+
+
+@query(
+    "op13_lexical_search",
+    f"""
+    with docs as (select row_number() over () as r, doc_id, {FOLDED} as t from documents),
+    words as (select r, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term from docs),
+    lengths as (select r, doc_id, count(*) as n from words group by r, doc_id),
+    sums as (select count(*) as big_n, sum(n)::bigint as big_l from lengths),
+    counts as (select r, term, count(*) as tf from words group by r, term),
+    weighed as (
+        select term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::bigint as w
+        from counts, sums group by term),
+    items as (select row_number() over () as i, item_id, t from (select distinct item_id, {FOLDED} as t from benchmark)),
+    asked as (select distinct i, item_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term from items),
+    scored as (
+        select i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::bigint as score
+        from asked join weighed using (term) join counts using (term) join lengths using (r), sums
+        group by i, item_id, r, doc_id),
+    ranked as (
+        select item_id, row_number() over (partition by i order by score desc, doc_id nulls last) as rank, doc_id, score
+        from scored where score > 0)
+    select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
+    """,
+)
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
