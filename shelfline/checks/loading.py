@@ -13,11 +13,11 @@ from shelfline.checks.columns import lineitem
 from shelfline.checks.model import TRAINING_SQL, label_pairs
 from shelfline.checks.registry import query
 from shelfline.checks.relational import folded_star
-from shelfline.checks.reporting import DEVIATION_SQL, FORECAST_SQL, HEALTH_SQL, SNAPSHOT_SQL
+from shelfline.checks.reporting import DEVIATION_SQL, FORECAST_SQL, HEALTH_SQL, MONTHLY, SNAPSHOT_SQL
 from shelfline.functions.dates import date_key, run_date
-from shelfline.operators import joins, quality
+from shelfline.operators import filters, joins, quality
 from shelfline.operators.windows import SKU
-from shelfline.plans import bias_model, daily, loads, marts
+from shelfline.plans import bias_model, daily, health_tables, loads, marts, turnover
 from shelfline.session import scratch_dir
 from shelfline.sources import driver_tables as D
 from shelfline.sources import files
@@ -232,6 +232,20 @@ def rows_of_run_date(spark, sf_dir):
     return flat.where(F.col("full_date") == run_date("1998-03-05"))
 
 
+@query(
+    "a10_rows_of_yesterday",
+    sql.long(
+        """SELECT store_id, product_id, units_sold FROM flat WHERE full_date = DATE '1998-03-05'"""
+    ),
+)
+def rows_of_yesterday(spark, sf_dir):
+    """All dates are moved so that 5 March 1998 becomes yesterday, the date of a job that names none."""
+    flat = D.inventory(spark, sf_dir).select("full_date", *SKU, "units_sold")
+    days = F.datediff(F.current_date(), day("1998-03-06"))
+    moved = flat.withColumn("full_date", F.date_add("full_date", days))
+    return moved.where(F.col("full_date") == run_date()).drop("full_date")
+
+
 @query("a11_read_training_csv", sql.long(f"SELECT {TRAINING_SQL} FROM flat"))
 def read_training_csv(spark, sf_dir):
     rows = bias_model.training_rows(marts.forecast_deviation(D.star(spark, sf_dir)))
@@ -428,6 +442,108 @@ def all_dates(spark, sf_dir):
     return named_facts(warehouse.star()).groupBy("full_date").agg(F.count("*").alias("row_count"))
 
 
+class StopsOnce(Warehouse):
+    """A warehouse whose first append of facts writes one half of them and stops."""
+
+    stopped = False
+
+    def append_fact(self, df):
+        if self.stopped:
+            return super().append_fact(df)
+        self.stopped = True
+        super().append_fact(df.where(F.col("product_key") % 2 == 0))
+        raise InterruptedError("stopped for the query")
+
+
+@query(
+    "w14_restarted_run",
+    sql.outlook(
+        f"""SELECT 'fact' AS part, COUNT(*) AS row_count, SUM(units_sold) AS total FROM facts UNION ALL
+            SELECT 'exported day', COUNT(*), SUM(units_sold) FROM facts WHERE full_date = DATE '{LAST_DAY}' UNION ALL
+            SELECT 'exported months', COUNT(*), SUM(sold)
+            FROM (SELECT SUM(units_sold) AS sold FROM facts GROUP BY month(full_date), store_id, product_id
+                  HAVING month(full_date) = 1) UNION ALL
+            SELECT 'archived', COUNT(*), SUM(units_sold) FROM facts WHERE full_date = DATE '{LAST_DAY}'"""
+    ),
+)
+def restarted_run(spark, sf_dir):
+    """A daily run that stops halfway through its append, and its repetition: facts, exports and archive."""
+    base = scratch_dir(spark, "w14")
+    incoming, export, archive = (os.path.join(base, name) for name in ("incoming", "export", "archive"))
+    warehouse = StopsOnce(spark, os.path.join(base, "warehouse"))
+    warehouse.stopped = True
+    daily.load_history(warehouse, raw_history(spark, sf_dir))
+    warehouse.stopped = False
+    write_last_day(spark, sf_dir, incoming)
+    try:
+        daily.run_daily(spark, warehouse, incoming, LAST_DAY, export, archive)
+    except InterruptedError:
+        daily.run_daily(spark, warehouse, incoming, LAST_DAY, export, archive)
+    sold = F.col("units_sold").cast("long").alias("sold")
+
+    def exported(mart):
+        return spark.read.option("header", True).csv(os.path.join(export, mart))
+
+    archived = files.read_inventory_csv(spark, files.Incoming(spark, archive).inventory_paths)
+    parts = {
+        "fact": warehouse.star().fact.select(sold),
+        "exported day": exported("inventory_daily_snapshot").select(sold),
+        "exported months": exported("inventory_turnover_monthly").select(F.col("total_units_sold").cast("long").alias("sold")),
+        "archived": archived.select(F.col("Units Sold").cast("long").alias("sold")),
+    }
+    return quality.all_violations(
+        [rows.select(F.lit(part).alias("part"), "sold").groupBy("part").agg(F.count("*").alias("row_count"), F.sum("sold").alias("total")) for part, rows in parts.items()]
+    )
+
+
+def stored(spark, sf_dir, name):
+    """A warehouse with the history, and the last day loaded twice as a delivery."""
+    warehouse = Warehouse(spark, scratch_dir(spark, name))
+    daily.load_history(warehouse, raw_history(spark, sf_dir))
+    for _ in range(2):
+        daily.load_batch(warehouse, raw_last_day(spark, sf_dir))
+    return warehouse
+
+
+@query(
+    "m2_turnover_by_deltas",
+    sql.folded(
+        """SELECT year, month, store_id, product_id, category, total_units_sold,
+                  CAST(stock // days AS DOUBLE) AS avg_inventory_held,
+                  CAST(total_units_sold // NULLIF(stock // days, 0) AS DOUBLE) AS turnover_ratio FROM monthly""",
+        MONTHLY.replace("FROM flat", "FROM facts"),
+    ),
+)
+def turnover_by_deltas(spark, sf_dir):
+    """Monthly turnover from sums that each delivery adds to; no fact is read."""
+    return turnover.turnover_from_sums(stored(spark, sf_dir, "m2"))
+
+
+@query("m3_health_of_buckets", sql.outlook(HEALTH_SQL))
+def health_of_buckets(spark, sf_dir):
+    """Stock health from the forecast and the latest facts, both bucketed by SKU."""
+    warehouse = stored(spark, sf_dir, "m3")
+    daily.load_snapshot(warehouse, raw_forecast(spark, sf_dir))
+    health_tables.refresh(warehouse, max(warehouse.fact_dates()))
+    return health_tables.inventory_health(warehouse)
+
+
+@query(
+    "c5_dashboard_star",
+    sql.folded(
+        FACT_SQL
+        + """ WHERE full_date BETWEEN DATE '1995-01-10' AND DATE '1995-01-28' AND category IN ('C0', 'C2')
+              AND product_id IN (SELECT product_id FROM facts WHERE product_id < 'P0008')"""
+    ),
+)
+def dashboard_star(spark, sf_dir):
+    """Date, category and product filters on a stored warehouse, as filters of the fact's scan."""
+    warehouse = stored(spark, sf_dir, "c5")
+    chosen = [f"P{number:04d}" for number in range(8)]
+    filtered = filters.dashboard_star(warehouse.star(), "1995-01-10", LAST_DAY, ["C0", "C2"], chosen)
+    return named_facts(filtered)
+
+
 REJECTED_SQL = sql.folded(
     """SELECT 'primary key is repeated' AS rule, COUNT(*) AS keys, COUNT(*) AS row_count FROM facts
        WHERE full_date = DATE '1995-01-28' UNION ALL

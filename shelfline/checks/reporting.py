@@ -43,7 +43,7 @@ def inventory_daily_snapshot(spark, sf_dir):
     return snapshot(spark, sf_dir)
 
 
-_MONTHLY = """monthly AS (
+MONTHLY = """monthly AS (
   SELECT CAST(year(full_date) AS BIGINT) AS year, CAST(month(full_date) AS BIGINT) AS month, store_id,
          product_id, category, CAST(SUM(units_sold) AS BIGINT) AS total_units_sold,
          CAST(SUM(inventory_level) AS BIGINT) AS stock, COUNT(*) AS days
@@ -56,7 +56,7 @@ _MONTHLY = """monthly AS (
         """SELECT year, month, store_id, product_id, category, total_units_sold,
                   CAST(stock // days AS DOUBLE) AS avg_inventory_held,
                   CAST(total_units_sold // NULLIF(stock // days, 0) AS DOUBLE) AS turnover_ratio FROM monthly""",
-        _MONTHLY,
+        MONTHLY,
     ),
 )
 def inventory_turnover_monthly(spark, sf_dir):
@@ -69,7 +69,7 @@ def inventory_turnover_monthly(spark, sf_dir):
         f"""SELECT year, month, store_id, product_id, category, total_units_sold,
                    {sql.half_up('stock', 'days', 0)} AS avg_inventory_held,
                    {sql.half_up('total_units_sold * days', 'stock', 2)} AS turnover_ratio FROM monthly""",
-        _MONTHLY,
+        MONTHLY,
     ),
 )
 def inventory_turnover_monthly_exact(spark, sf_dir):
@@ -335,6 +335,26 @@ def mover_segments(spark, sf_dir):
     return segments.select(*SKU, "turnover", "segment")
 
 
+@query(
+    "k11_group_segments",
+    sql.long(
+        """SELECT store_id, product_id, category, CAST(micro AS DOUBLE) / 1000000 AS turnover,
+                  CASE WHEN micro >= fast THEN 'Fast mover' WHEN micro <= slow THEN 'Slow mover' ELSE 'Medium mover' END AS segment
+           FROM ranked JOIN (
+             SELECT store_id, category, MIN(micro) FILTER (4 * r >= 3 * n) AS fast, MIN(micro) FILTER (4 * r >= n) AS slow
+             FROM ranked GROUP BY 1, 2) USING (store_id, category)""",
+        _TURNOVER.format(source="flat"),
+        """ranked AS (SELECT store_id, product_id, category, micro,
+             ROW_NUMBER() OVER (PARTITION BY store_id, category ORDER BY micro) AS r, COUNT(*) OVER (PARTITION BY store_id, category) AS n
+           FROM turnover JOIN (SELECT DISTINCT product_id, category FROM flat) USING (product_id) WHERE micro IS NOT NULL)""",
+    ),
+)
+def group_segments(spark, sf_dir):
+    """Segments within each store and category by quantile sketches, which are exact for groups this small."""
+    days = snapshot(spark, sf_dir)
+    return kpis.group_segments(kpis.sku_turnover(days, "category")).select(*SKU, "category", "turnover", "segment")
+
+
 @query(
     "k12_alert_counts",
     sql.outlook(

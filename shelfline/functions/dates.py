@@ -46,7 +46,7 @@ def file_token(day):
 
 
 def run_date(text=None):
-    """The date a job runs for: the given ISO date, else yesterday."""
+    """The date a job runs for: the given ISO date, else yesterday in the session's time zone."""
     if text is None:
         return F.date_sub(F.current_date(), 1)
     return F.lit(text).cast("date")

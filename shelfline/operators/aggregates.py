@@ -81,17 +81,21 @@ def share_below(value, threshold):
     return frequency(F.coalesce(value < threshold, F.lit(False)))
 
 
-def drill_down(df, measures, totals=None, levels=("store_id", "product_id")):
+def drill_down(df, measures, totals=None, levels=("store_id", "product_id"), one_row_per_sku=False):
     """Totals for the portfolio, each store and each SKU; ``level`` tells them apart.
 
     ``measures`` are row expressions by name. They are summed per SKU first, so the rollup
-    multiplies one row per SKU and not every row. ``totals`` are columns over the summed
-    measures, by default the sums themselves.
+    multiplies one row per SKU and not every row; with ``one_row_per_sku`` the caller says that
+    there is nothing to sum. ``totals`` are columns over the summed measures, by default the sums
+    themselves.
     """
     depth = F.grouping_id()
     # grouping_id is 3 for the portfolio, 1 for a store and 0 for a SKU
     level = F.when(depth == 0, "sku").when(depth == 1, "store").otherwise("portfolio")
-    skus = df.groupBy(*levels).agg(*[F.sum(value).alias(name) for name, value in measures.items()])
+    if one_row_per_sku:
+        skus = df.select(*levels, *[value.alias(name) for name, value in measures.items()])
+    else:
+        skus = df.groupBy(*levels).agg(*[F.sum(value).alias(name) for name, value in measures.items()])
     rolled = skus.rollup(*levels).agg(level.alias("level"), *[F.sum(name).alias(name) for name in measures])
     return rolled.select("level", *levels, *(totals or measures))
 

@@ -18,6 +18,8 @@ from shelfline.plans.marts import inventory_daily_snapshot, sku_outlook, with_al
 from shelfline.session import scratch_dir
 
 RATIO_PLACES = 6
+KLL_K = 400
+KLL_RANK_ERROR = 0.01  # of quantile sketches with k = 400 (published bound: 0.66 % for one rank, 99 % confidence)
 AMOUNT = "decimal(28,4)"
 
 
@@ -35,7 +37,12 @@ def overstock_capital():
 
 def sku_risks(star, forecast, latest=None):
     """One row per SKU of the latest date: alerts, revenue at risk and locked capital."""
-    return with_alerts(sku_outlook(star, forecast, latest)).withColumns(
+    return risks_of(sku_outlook(star, forecast, latest))
+
+
+def risks_of(skus):
+    """:func:`sku_risks` of :func:`sku_outlook` rows."""
+    return with_alerts(skus).withColumns(
         {
             "projected_stockout_loss": stockout_loss(),
             "capital_locked": F.coalesce(overstock_capital(), F.lit(0)).cast(AMOUNT),
@@ -91,11 +98,11 @@ def capital_locked(risks):
     )
 
 
-def sku_turnover(snapshot):
-    """Exact turnover per SKU: units sold over average stock held, as decimals."""
+def sku_turnover(snapshot, *more):
+    """Exact turnover per SKU: units sold over average stock held, as decimals; ``more`` are attributes of a SKU to keep."""
     sold, stock = F.sum("units_sold"), F.sum("inventory_level")
     turnover = rounded_ratio(sold * F.count("full_date"), stock, RATIO_PLACES)
-    return snapshot.groupBy("store_id", "product_id").agg(
+    return snapshot.groupBy("store_id", "product_id", *more).agg(
         sold.alias("units_sold"), turnover.cast("decimal(18,6)").alias("turnover")
     )
 
@@ -144,7 +151,8 @@ def inventory_velocity(recent, days=30):
 
 def velocity_drill_down(recent, days=30, **filters):
     """Turnover and life on the shelf for the portfolio, its stores and its SKUs."""
-    return drill_down(sku_turnover(dashboard_filter(recent, **filters)), velocity_measures(), velocity_totals(days))
+    turnover = sku_turnover(dashboard_filter(recent, **filters))
+    return drill_down(turnover, velocity_measures(), velocity_totals(days), one_row_per_sku=True)
 
 
 def reliability_measures():
@@ -233,10 +241,43 @@ def mover_segments(turnover, slow=0.25, fast=0.75):
     )
 
 
+def segment_sketches(turnover, group=("store_id", "category"), k=KLL_K):
+    """One mergeable quantile sketch of the turnover per group, of a size bounded by ``k``.
+
+    Sketches of parts (regions, deliveries, days) merge without their rows: see :func:`merged_sketches`.
+    """
+    value = F.col("turnover").cast("double")
+    rows = turnover.where(F.col("turnover").isNotNull())
+    return rows.groupBy(*group).agg(F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches, *group, k=KLL_K):
+    """The sketches of coarser groups, from those of finer ones."""
+    return sketches.groupBy(*group).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def segment_cuts(sketches, slow=0.25, fast=0.75):
+    """Quantile cuts per group; a cut's rank is within :data:`KLL_RANK_ERROR` of its share, with 99 % confidence."""
+    cuts = [F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias(name) for name, share in (("slow", slow), ("fast", fast))]
+    return sketches.select(*[name for name in sketches.columns if name != "sketch"], *cuts)
+
+
+def group_segments(turnover, group=("store_id", "category"), slow=0.25, fast=0.75, k=KLL_K):
+    """Fast, medium and slow movers within each store and category, by the cuts of their sketches.
+
+    :func:`mover_segments` gives exact cuts of all SKUs; here every group has cuts of its own, found in
+    one pass whatever the number of groups.
+    """
+    cuts = segment_cuts(segment_sketches(turnover, group, k), slow, fast)
+    value = F.col("turnover").cast("double")
+    named = F.when(value >= F.col("fast"), "Fast mover").when(value <= F.col("slow"), "Slow mover").otherwise("Medium mover")
+    return turnover.join(cuts, list(group)).withColumn("segment", named).drop("slow", "fast")
+
+
 def alert_counts(health):
     return health.groupBy("store_id", "inventory_health_status").agg(F.count("*").alias("skus"))
 
 
 def risk_drill_down(risks, **filters):
     """Risk KPIs for the portfolio, its stores and its SKUs after the dashboard filters."""
-    return drill_down(dashboard_filter(risks, **filters), risk_measures(), risk_totals())
+    return drill_down(dashboard_filter(risks, **filters), risk_measures(), risk_totals(), one_row_per_sku=True)

@@ -191,15 +191,14 @@ def sync_dates(dim_date, batch, padded=False):
 
 
 def touched_partitions(fact, rows):
-    """The part of the fact between the first and last date of the batch.
+    """The part of the fact on the dates of the batch, however far apart these are.
 
-    The bounds become partition filters of the scan, so a daily batch reads one partition.
+    The join on the batch's distinct dates prunes partitions while the query runs, so a late row adds
+    the one partition of its date. A batch has few dates (one row each is broadcast); the condition on
+    them is what makes Spark consider the pruning.
     """
-    bounds = rows.agg(F.min("date_key").alias("low"), F.max("date_key").alias("high"))
-    key = F.col("date_key")
-    return fact.where(
-        (key >= bounds.select("low").scalar()) & (key <= bounds.select("high").scalar())
-    )
+    days = F.broadcast(rows.select("date_key").where("date_key > 0").distinct())
+    return fact.join(days, "date_key", "left_semi").select(*fact.columns)
 
 
 def checked_facts(batch, dim_date, dim_store, dim_product):
@@ -241,10 +240,16 @@ def rejected_rows(checked):
     return broken.unionByName(repeated)
 
 
+def missing_facts(fact, rows):
+    """Rows whose key is not loaded yet; only the partitions of their dates are read."""
+    return insert_if_absent(touched_partitions(fact, rows), rows, FACT_KEY).select(*FACT.fieldNames())
+
+
 def new_facts(fact, checked):
     """Facts of the rows without a broken rule whose key is not loaded yet."""
     keyed = checked.where(F.col("rule").isNull()).select(*FACT.fieldNames())
-    return insert_if_absent(touched_partitions(fact, keyed), first_wins(keyed, FACT_KEY), FACT_KEY)
+    first = first_wins(keyed, FACT_KEY)
+    return insert_if_absent(touched_partitions(fact, keyed), first, FACT_KEY).select(*FACT.fieldNames())
 
 
 def typed_forecast(raw):

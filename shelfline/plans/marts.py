@@ -45,6 +45,11 @@ def inventory_turnover_monthly(star, exact=False, unique_days=True):
     By default both divisions drop the fraction, as whole-number columns do; ``exact=True``
     divides decimals and rounds to two places.
     """
+    return turnover_of(monthly_stock(star.fact, star.dim_date, unique_days), star, exact)
+
+
+def turnover_of(sums, star, exact=False):
+    """:func:`inventory_turnover_monthly` from units, stock and days per month and SKU."""
     stock, days = F.col("total_inventory_sum"), F.col("days_observed")
     sold = F.col("total_units_sold")
     if exact:
@@ -54,8 +59,7 @@ def inventory_turnover_monthly(star, exact=False, unique_days=True):
         held = whole_division(stock, days)
         turnover = whole_division(sold, held)
     return (
-        monthly_stock(star.fact, star.dim_date, unique_days)
-        .join(star.dim_store.select("store_key", "store_id"), "store_key")
+        sums.join(star.dim_store.select("store_key", "store_id"), "store_key")
         .join(star.dim_product.select("product_key", "product_id", "category"), "product_key")
         .select(
             "year",
@@ -75,15 +79,9 @@ def demand_outlook(star, forecast, latest=None):
     return unfolded(folded_outlook(star, forecast, latest))
 
 
-def folded_outlook(star, forecast, latest=None):
-    """Cumulative forecast demand against effective inventory on the latest fact date.
-
-    Equal forecast rows are folded as in :func:`running_demand`.
-
-    The windows run on the forecast before the join. A SKU has one fact row per date, so the
-    numbers are the same as after the join and the joined rows keep the windows' partitioning.
-    """
-    facts = latest_facts(star, latest).select(
+def outlook_facts(star, latest=None):
+    """What stock health needs of the facts: one row per SKU of the latest fact date."""
+    return latest_facts(star, latest).select(
         "full_date",
         "store_id",
         "region",
@@ -92,12 +90,25 @@ def folded_outlook(star, forecast, latest=None):
         "inventory_level",
         "units_ordered",
         "selling_price",
-        effective_inventory(F.col("inventory_level"), F.col("units_ordered")).alias(
-            "effective_inventory"
-        ),
     )
+
+
+def folded_outlook(star, forecast, latest=None):
+    """Cumulative forecast demand against effective inventory on the latest fact date.
+
+    Equal forecast rows are folded as in :func:`running_demand`.
+
+    The windows run on the forecast before the join. A SKU has one fact row per date, so the
+    numbers are the same as after the join and the joined rows keep the windows' partitioning.
+    """
+    return outlook_of(outlook_facts(star, latest), forecast)
+
+
+def outlook_of(facts, forecast):
+    """:func:`folded_outlook` of :func:`outlook_facts`; no shuffle if both are bucketed by SKU."""
+    stock = effective_inventory(F.col("inventory_level"), F.col("units_ordered"))
     demand = running_demand(forecast).withColumnRenamed("full_date", "forecasted_for")
-    return with_forecast(facts, demand).withColumn(
+    return with_forecast(facts.withColumn("effective_inventory", stock), demand).withColumn(
         "is_less_than_demand", is_short(F.col("effective_inventory"), F.col("running_total"))
     )
 
@@ -134,7 +145,12 @@ def days_of_supply_candidate():
 
 
 def sku_outlook(star, forecast, latest=None):
-    """One row per SKU of the latest date: stock, days of supply and demand milestones.
+    """One row per SKU of the latest date: stock, days of supply and demand milestones."""
+    return outlook_per_sku(folded_outlook(star, forecast, latest))
+
+
+def outlook_per_sku(outlook):
+    """:func:`sku_outlook` of :func:`folded_outlook` rows.
 
     Grouping keys start with the window's partitioning keys, so no further shuffle occurs and
     nothing has to be joined back.
@@ -145,8 +161,7 @@ def sku_outlook(star, forecast, latest=None):
         return F.max(F.when(_contains_row(row_number), F.col("running_total")))
 
     return (
-        folded_outlook(star, forecast, latest)
-        .groupBy(
+        outlook.groupBy(
             *SKU,
             "full_date",
             "region",
@@ -184,7 +199,12 @@ def with_alerts(skus):
 
 def inventory_health(star, forecast, latest=None):
     """Stock status, recommended action and severity per SKU on the latest fact date."""
-    return with_alerts(sku_outlook(star, forecast, latest)).select(
+    return health_of(sku_outlook(star, forecast, latest))
+
+
+def health_of(skus):
+    """:func:`inventory_health` of :func:`sku_outlook` rows."""
+    return with_alerts(skus).select(
         "full_date",
         "store_id",
         "region",

@@ -6,6 +6,7 @@ repeated job never leaves a half-written table behind. Growing tables (raw inven
 are written per batch folder or per date partition.
 """
 
+import hashlib
 import os
 
 from shelfline import schemas
@@ -66,10 +67,10 @@ class Warehouse:
         return self._load(RAW_INVENTORY_TABLE, [self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")])
 
     def fact_dates(self):
-        """Date keys of the fact, from its partition folders: no file is opened."""
-        prefix = "date_key="
-        names = self._list(self.path(FACT_TABLE), "*.parquet")
-        return [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
+        """Date keys of the fact, from its partition folders: none is listed, no file is opened."""
+        glob = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(FACT_TABLE, "date_key=*"))
+        statuses = glob.getFileSystem(self._hadoop_conf()).globStatus(glob) or []
+        return sorted(int(status.getPath().getName().split("=")[1]) for status in statuses)
 
     def _checked(self, table, df):
         """The table's columns under its NOT NULL and length constraints."""
@@ -86,6 +87,40 @@ class Warehouse:
         path = self.path(table, f"v{version:08d}")
         self._checked(table, df).write.mode("overwrite").parquet(path)
 
+    def replace_bucketed(self, table, df, keys, buckets=None):
+        """Write a new version of a snapshot, bucketed and sorted by ``keys``.
+
+        Tables of equal keys and bucket numbers join, group and window on the keys without a shuffle.
+        The number of buckets, by default that of shuffle partitions, is part of the version's name.
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        folders = self._committed(table)
+        version = int(folders[-1][1:].split("-")[0]) + 1 if folders else 1
+        name = self._attached(table, f"v{version:08d}-{buckets}-{'+'.join(keys)}", df.schema)
+        df.select(*df.columns).repartition(buckets, *keys).sortWithinPartitions(*keys).write.insertInto(name, overwrite=True)
+
+    def read_bucketed(self, table, schema):
+        """Current rows of a snapshot written by :meth:`replace_bucketed`, None if there is none."""
+        folders = self._committed(table)
+        return self.spark.table(self._attached(table, folders[-1], schema)) if folders else None
+
+    def _attached(self, table, version, schema):
+        """The name of a version in this session's catalog, where Spark looks for bucket specifications.
+
+        The catalog holds no rows: a new session attaches the folder again.
+        """
+        path = self.path(table, version)
+        name = f"shelfline_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+        if not self.spark.catalog.tableExists(name):
+            _, buckets, keys = version.split("-")
+            columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+            names = ", ".join(f"`{key}`" for key in keys.split("+"))
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS LOCATION '{path}'"
+            )
+        return name
+
     def expire(self, table, keep=2):
         """Delete all but the newest committed versions of a table that is replaced as a whole.
 
@@ -110,10 +145,12 @@ class Warehouse:
         """Add new facts, partitioned by date.
 
         The rebalance hint lets AQE size the files: a small batch becomes one file per date,
-        a date that holds most of the rows is split over many tasks.
+        a date that holds most of the rows is split over many tasks. Within a file rows are sorted by
+        product and its key has a Bloom filter, so a filter on products skips row groups and pages.
         """
-        facts = self._checked(FACT_TABLE, df).hint("rebalance", "date_key")
-        facts.write.mode("append").partitionBy("date_key").parquet(self.path(FACT_TABLE))
+        facts = self._checked(FACT_TABLE, df).hint("rebalance", "date_key").sortWithinPartitions("date_key", "product_key")
+        writer = facts.write.mode("append").option("parquet.bloom.filter.enabled#product_key", True)
+        writer.partitionBy("date_key").parquet(self.path(FACT_TABLE))
 
     def star(self):
         names = ("fct_inventory_daily", "dim_date", "dim_store", "dim_product")

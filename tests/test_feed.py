@@ -102,3 +102,46 @@ def test_a_broken_line_stops_the_feed(spark):
         target.write(text + "09/03/24,S1\n")
     with pytest.raises(Exception, match="FAILFAST|MALFORMED|Malformed"):
         feed.land_feed(feed.read_feed(spark, incoming), os.path.join(base, "landed"), os.path.join(base, "checkpoint"))
+
+
+def test_no_line_is_read_to_find_a_file(spark):
+    base = scratch_dir(spark, "feed")
+    drop(spark, base, "20240309.csv", builders.raw_row())
+    source = feed.read_feed(spark, base)
+    assert source.listing.columns == ["path", "length", "changed"]
+    plan = files.listing(spark, base)._jdf.queryExecution().executedPlan().toString()
+    assert "path" in plan and "content" not in plan.split("ReadSchema")[1]
+
+
+def test_first_rows_reads_only_dates_that_may_be_known(spark, monkeypatch):
+    """Over a growing history a micro-batch of new keys looks up no landed row, a late copy only its own date."""
+    folder, looked = scratch_dir(spark, "first"), []
+    store = feed.FirstRows(spark, folder)
+    real = feed.FirstRows.earlier
+    monkeypatch.setattr(feed.FirstRows, "earlier", lambda self, dates, name: (looked.append(dates), real(self, dates, name))[1])
+    for number in range(1, 6):
+        store.land(builders.raw(spark, builders.raw_row(day=f"{number}/3/24"), builders.raw_row(day=f"{number}/3/24", product="P2")), f"b{number}")
+    assert looked == [] and feed.landed(spark, folder).count() == 10
+    store.land(builders.raw(spark, builders.raw_row(day="2/3/24"), builders.raw_row(day="1/1/19")), "late")
+    assert looked == [[20240302]] and feed.landed(spark, folder).count() == 11
+    assert store.known([20240302]).count() <= 2
+
+
+def test_first_rows_stay_exact_when_the_filters_are_full(spark):
+    folder = scratch_dir(spark, "first")
+    store = feed.FirstRows(spark, folder, words=1)
+    for name in ("a", "b", "b"):
+        rows = [builders.raw_row(product=f"P{i}") for i in range(40 if name == "a" else 60)]
+        store.land(builders.raw(spark, *rows, builders.raw_row(day=None)), name)
+    found = feed.landed(spark, folder)
+    assert found.where("Date is not null").count() == 60
+    assert sorted(r.batch for r in found.where("Date is null").collect()) == ["a", "b"]
+
+
+def test_a_micro_batch_that_stopped_before_its_rows_lands_them(spark, monkeypatch):
+    folder = scratch_dir(spark, "first")
+    store = feed.FirstRows(spark, folder)
+    rows = builders.raw(spark, builders.raw_row(), builders.raw_row(product="P2"))
+    store.remember(store.split(feed.first_wins(rows.withColumn("date_key", feed.date_key(feed.parse_short_date(rows["Date"]))), feed.RAW_KEY), "a")[0])
+    store.land(rows, "a")
+    assert feed.landed(spark, folder).count() == 2

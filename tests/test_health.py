@@ -165,3 +165,17 @@ def test_a_repeated_forecast_row_does_not_fill_the_window(spark):
     # Rows of one day share its running total of 200, so the seventh row is covered by 900:
     # 7 + 7 * (900 - 200) / 200. The first short row comes 80000 rows later.
     assert dos == {"P1": Decimal("31.50"), "P2": Decimal("2.50")}
+
+
+def test_sketch_cuts_stay_within_their_rank_error(spark):
+    """Groups of 40,000 values: the cuts' ranks are within the stated error, also after merging parts."""
+    rows = spark.range(120_000).selectExpr("concat('S', id % 3) as store_id", "concat('C', id % 2) as category", "cast(abs(xxhash64(id)) % 1000000 as decimal(18,6)) as turnover")
+    fine = kpis.segment_sketches(rows)
+    stores = kpis.merged_sketches(fine, "store_id")
+    for cuts, keys in ((kpis.segment_cuts(fine), ["store_id", "category"]), (kpis.segment_cuts(stores), ["store_id"])):
+        below = rows.join(cuts, keys).groupBy(*keys).agg(
+            F.avg((F.col("turnover").cast("double") <= F.col("slow")).cast("int")).alias("slow"),
+            F.avg((F.col("turnover").cast("double") <= F.col("fast")).cast("int")).alias("fast"),
+        )
+        for row in below.collect():
+            assert abs(row.slow - 0.25) <= kpis.KLL_RANK_ERROR and abs(row.fast - 0.75) <= kpis.KLL_RANK_ERROR

@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import builders
-from shelfline.operators import joins, quality
+from shelfline.operators import filters, joins, quality
 from shelfline.operators.aggregates import first_wins, quantile_cuts, unique_members
 from shelfline.operators.keys import assign_keys
-from shelfline.plans import daily, loads, marts
+from shelfline.plans import daily, health_tables, loads, marts, turnover
 from shelfline.session import scratch_dir
 from shelfline.sources import files
 from shelfline.sources.warehouse import Warehouse
@@ -145,6 +145,143 @@ def test_batch_reads_only_its_own_dates(spark, warehouse):
     assert "date_key" in filters and "Subquery" in plan
 
 
+def test_turnover_by_deltas_equals_the_full_mart(spark, warehouse):
+    def both():
+        full = sorted(map(tuple, marts.inventory_turnover_monthly(warehouse.star()).collect()))
+        return full, sorted(map(tuple, turnover.turnover_from_sums(warehouse).collect()))
+
+    daily.load_history(warehouse, builders.raw(spark, *[builders.raw_row(day=f"{n}/{m}/24") for n in (1, 2) for m in (1, 2, 3)]))
+    batches = [
+        [builders.raw_row(), builders.raw_row(product="P2", **{"Units Sold": "70"})],
+        [builders.raw_row(day="3/2/24"), builders.raw_row(day="2/2/24"), builders.raw_row(day="1/12/19")],
+        [builders.raw_row()],
+    ]
+    for rows in batches:
+        for _ in range(2):
+            daily.load_batch(warehouse, builders.raw(spark, *rows))
+        full, kept = both()
+        assert full == kept
+    assert sorted(turnover.versions(warehouse)) == [201912, 202401, 202402, 202403]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(warehouse.path(turnover.TABLE))
+    hadoop.getFileSystem(warehouse._hadoop_conf()).delete(hadoop, True)
+    daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(day="10/3/24")))
+    full, kept = both()
+    assert full == kept and len(full) == 5
+
+
+def test_a_late_row_reads_two_partitions(spark, warehouse):
+    """One row five years old opens the partition of its own date, none in between."""
+    days = ["9/3/19", "10/3/20", "11/3/21", "12/3/22", "8/3/24", "9/3/24"]
+    daily.load_batch(warehouse, builders.raw(spark, *[builders.raw_row(day=day) for day in days]))
+    path = scratch_dir(spark, "batch")
+    spark.createDataFrame([(20190309,), (20240309,), (20240309,)], "date_key int").write.parquet(path)
+    touched = loads.touched_partitions(warehouse.read("dwh/fct_inventory_daily"), spark.read.parquet(path))
+    assert sorted(row.date_key for row in touched.collect()) == [20190309, 20240309]
+    node, scans = touched._jdf.queryExecution().executedPlan(), []
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "FileSourceScanExec" and "store_key" in plan.toString():
+            scans.append(plan)
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "BroadcastQueryStageExec": "plan", "ShuffleQueryStageExec": "plan", "ResultQueryStageExec": "plan"}
+        if name in inner:
+            walk(getattr(plan, inner[name])())
+        for i in range(plan.children().length()):
+            walk(plan.children().apply(i))
+
+    walk(node)
+    assert scans and scans[0].metrics().apply("numPartitions").value() == 2
+
+
+def test_a_large_date_is_exported_in_ordered_files(spark):
+    rows = spark.range(20_000).selectExpr("date'2024-03-09' as full_date", "concat('S', id % 7) as store_id", "concat('P', lpad(id, 5, '0')) as product_id")
+    folder = scratch_dir(spark, "export")
+    small = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        files.export_marts({"forecast_deviation": rows}, folder, marts.EXPORT_ORDER, marts.EXPORT_PARTS)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    date_folder = os.path.join(folder, "forecast_deviation", "full_date=2024-03-09")
+    parts = sorted(name for name in os.listdir(date_folder) if name.startswith("part-"))
+    counts, lines = [], []
+    for name in parts:
+        with open(os.path.join(date_folder, name)) as source:
+            body = source.read().splitlines()[1:]
+        counts.append(len(body))
+        lines += [tuple(line.split(",")) for line in body]
+    assert len(parts) == 8 and max(counts) < 5_000 and sum(counts) == 20_000
+    assert lines == sorted(lines)
+
+
+def test_headers_are_the_only_lines_read_twice(spark, monkeypatch):
+    """The layout of a folder comes from first lines; compressed files and a byte order mark are read, too."""
+    path = scratch_dir(spark, "layouts")
+    rows = builders.raw(spark, *[builders.raw_row(product=f"P{i}") for i in range(50)])
+    files.write_csv(rows.repartition(3), os.path.join(path, "plain"))
+    turned = rows.select(*[f"`{name}`" for name in reversed(rows.columns)])
+    turned.coalesce(1).write.option("header", True).option("compression", "gzip").csv(os.path.join(path, "packed"))
+    found = files.layouts(spark, path, files.RAW_INVENTORY)
+    assert sorted(len(paths) for paths in found.values()) == [1, 3]
+    assert files.read_inventory_csv(spark, path).count() == 100
+    scans = files.read_inventory_csv(spark, path)._jdf.queryExecution().toString()
+    assert "FileScan text" not in scans
+
+
+def test_stock_health_of_buckets_shuffles_nothing(spark, warehouse):
+    rows = [builders.raw_row(product=f"P{i}") for i in range(40)]
+    daily.load_batch(warehouse, builders.raw(spark, *rows))
+    made = [builders.raw_forecast_row(day=f"{10 + d}/3/24", product=f"P{i}") for i in range(40) for d in range(7)]
+    daily.load_snapshot(warehouse, builders.raw_forecast(spark, *made))
+    for _ in range(2):
+        health_tables.refresh(warehouse, 20240309)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        health = health_tables.inventory_health(warehouse)
+        plan = health._jdf.queryExecution().executedPlan().toString()
+        found = sorted(map(tuple, health.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert found == sorted(map(tuple, marts.inventory_health(warehouse.star(), warehouse.forecast()).collect()))
+    assert len(found) == 40 and health_tables.sku_risks(warehouse).count() == 40
+
+
+def test_product_filters_reach_the_scan(spark, warehouse):
+    """Of 200,000 rows of a date those of two products are read by pages; many keys filter by a join."""
+    fact = spark.range(200_000).selectExpr(
+        "20240309 as date_key", "cast(id % 100 as long) as store_key", "cast(id div 100 as long) as product_key", "1 as inventory_level", "1 as units_sold",
+        "1 as units_ordered", "cast(1 as decimal(10,2)) as demand_forecast", "cast(1 as decimal(10,2)) as selling_price",
+        "cast(1 as decimal(10,2)) as discount_applied", "cast(1 as decimal(10,2)) as competitor_price", "'Sunny' as weather_condition", "true as is_promotion_active",
+    )
+    warehouse.append_fact(fact.repartition(4))
+    products = spark.range(2000).selectExpr("id as product_key", "concat('P', id) as product_id", "concat('C', id % 5) as category", "'Active' as product_status")
+    warehouse.replace("dwh/dim_product", products)
+
+    def read(**chosen):
+        filtered = filters.dashboard_star(warehouse.star(), start="2024-03-01", end="2024-03-31", **chosen).fact
+        rows = filtered.count()
+        plan = filtered.groupBy().count()
+        plan.collect()
+        return rows, filtered._jdf.queryExecution().executedPlan().toString()
+
+    rows, plan = read(products=["P7", "P1999", "P5000"])
+    assert rows == 200 and "PushedFilters: [Or(EqualTo(product_key,7),EqualTo(product_key,1999))]" in plan
+    rows, plan = read(categories=["C1"])
+    assert rows == 40_000 and "LeftSemi" in plan
+    assert read(products=["P5000"])[0] == 0
+    files_read = warehouse.read("dwh/fct_inventory_daily").where("product_key = 7")
+    files_read.collect()
+    scan = files_read._jdf.queryExecution().executedPlan()
+    while scan.children().length():
+        scan = scan.children().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() < 100_000
+
+
 def test_writes_enforce_constraints(spark, warehouse):
     too_long = builders.raw(spark, builders.raw_row(store="S" * 11))
     with pytest.raises(Exception, match="store_id is longer than 10"):
@@ -196,7 +333,10 @@ def test_daily_run(spark, warehouse):
 def test_export_reads_only_touched_dates(spark, warehouse):
     for number in range(1, 5):
         daily.load_batch(warehouse, builders.raw(spark, builders.raw_row(day=f"{number}/3/24")))
-    exported = daily.touched_marts(warehouse.star(), warehouse.forecast(), [20240303], 20240304)
+    exported = daily.touched_marts(warehouse, [20240303], 20240304)
+    monthly = exported["inventory_turnover_monthly"]
+    assert "fct_inventory_daily" not in monthly._jdf.queryExecution().executedPlan().toString()
+    assert monthly.first().total_units_sold == 80
     for name in ("inventory_daily_snapshot", "forecast_deviation"):
         plan = exported[name]._jdf.queryExecution().executedPlan().toString()
         assert "20240303" in plan.split("PartitionFilters: [")[1].split("]")[0], name
