@@ -167,7 +167,7 @@ def boosted_trees(spark, sf_dir):
 def softmax_trees(spark, sf_dir):
     """As ``l6_boosted_trees`` with one model for all classes, whose log-loss must fall in every round."""
     train, test = split(spark, sf_dir)
-    model = softmax.fit(train)
+    model = softmax.fit(train, rounds=3)
     scored = softmax.score(model, train.unionByName(test)).select(B.LABEL, B.PREDICTED)
     right = F.count_if(F.col(B.LABEL) == F.col(B.PREDICTED)).alias("right")
     per_label = scored.groupBy(B.LABEL).agg(

@@ -3,7 +3,9 @@
 Features are cut into at most ``BINS`` bins once. Every round grows one tree per class on the gradients
 that the classes share: for each level one aggregation sums gradients and curvatures per class, node,
 feature and bin, and the best splits come from those sums, at most
-classes x nodes x features x bins rows on the driver, whatever the number of rows.
+classes x nodes x features x bins rows on the driver, whatever the number of rows. Rows of equal bins and
+label have equal gradients in every round, so they are folded into one weighted row before the first; the
+rounds work on at most as many rows as there are combinations of bins and labels.
 
 Gradients are rounded to whole multiples of 2^-30 before they are summed, so sums are exact, and the same
 rows give the same trees on any cluster. Scores are staged after each round, which ends the lineage.
@@ -62,20 +64,28 @@ def _bins(model):
     return F.array(*columns)
 
 
-def _value(tree, bins, node=0):
-    """A tree as nested conditions over the bins."""
-    feature, cut, left, right, value = tree[node]
-    if feature is None:
-        return F.lit(value)
-    return F.when(bins[feature] <= cut, _value(tree, bins, left)).otherwise(_value(tree, bins, right))
+def _leaf_number(tree, bins):
+    """The number of the leaf that a row reaches, by as many steps as the tree is deep."""
+    if len(tree) == 1:
+        return F.lit(0)
+    feature, cut, left, right = (
+        F.array(*[F.lit(default(i) if node[0] is None else node[part]) for i, node in enumerate(tree)])
+        for part, default in enumerate((lambda i: 0, lambda i: 0, lambda i: i, lambda i: i))
+    )
 
+    def step(at, _):
+        return F.when(F.get(bins, F.get(feature, at)) <= F.get(cut, at), F.get(left, at)).otherwise(F.get(right, at))
 
-def _leaf_number(tree, bins, node=0):
-    """The number of the node that a row has reached in a tree that is still growing."""
-    feature, cut, left, right, _ = tree[node]
-    if feature is None:
-        return F.lit(node)
-    return F.when(bins[feature] <= cut, _leaf_number(tree, bins, left)).otherwise(_leaf_number(tree, bins, right))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_depth(tree))), F.lit(0), step)
+
+
+def _depth(tree, node=0):
+    feature, _, left, right, _ = tree[node]
+    return 0 if feature is None else 1 + max(_depth(tree, left), _depth(tree, right))
+
+
+def _value(tree, bins):
+    return F.get(F.array(*[F.lit(float(node[4])) for node in tree]), _leaf_number(tree, bins))
 
 
 def _shares(scores, k):
@@ -117,15 +127,16 @@ def _grow(rows, k, features, depth, rate):
     for level in range(depth + 1):
         cells = F.array(
             *[
-                F.struct(F.lit(c).alias("c"), _leaf_number(trees[c], F.col("bins")).alias("node"), F.lit(f).alias("f"), F.col("bins")[f].alias("bin"), F.col(f"g{c}").alias("g"), F.col(f"h{c}").alias("h"))
+                F.struct(F.lit(c).alias("c"), F.col(f"node{c}").alias("node"), F.lit(f).alias("f"), F.col("bins")[f].alias("bin"), F.col(f"g{c}").alias("g"), F.col(f"h{c}").alias("h"))
                 for c in range(k)
                 for f in range(features)
             ]
         )
-        sums = rows.select(F.inline(cells)).groupBy("c", "node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        reached = rows.withColumns({f"node{c}": _leaf_number(trees[c], F.col("bins")) for c in range(k)})
+        sums = reached.select(F.inline(cells)).groupBy("c", "node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
         found = {}
         for row in sums.collect():
-            found.setdefault((row["c"], row["node"]), {}).setdefault(row["f"], {})[row["bin"]] = (row["g"], row["h"])
+            found.setdefault((row["c"], row["node"]), {}).setdefault(row["f"], {})[row["bin"]] = (int(row["g"]), int(row["h"]))
         for c in range(k):
             next_nodes = set()
             for node in sorted(open_nodes[c]):
@@ -144,9 +155,9 @@ def _grow(rows, k, features, depth, rate):
     return trees
 
 
-def fit(training, rounds=10, depth=4, rate=0.3, label=LABEL):
+def fit(training, rounds=8, depth=5, rate=0.4, label=LABEL):
     """The trees of ``rounds`` rounds; ``losses`` has the mean log-loss before the first and after each."""
-    rows = clean(training).where(F.col(label).isNotNull())
+    rows = _staged(clean(training).where(F.col(label).isNotNull()).select(*NUMERIC, *CATEGORICAL, label), "boosting-rows")
     labels = sorted(row[0] for row in rows.select(label).distinct().collect())
     codes = {name: sorted(row[0] for row in rows.select(name).distinct().collect() if row[0] is not None) or [""] for name in CATEGORICAL}
     shares = [(i + 1) / BINS for i in range(BINS - 1)]
@@ -157,15 +168,16 @@ def fit(training, rounds=10, depth=4, rate=0.3, label=LABEL):
     model = SoftmaxTrees(labels, cuts, codes, [], rate, [])
     k = len(labels)
     position = F.array_position(F.array(*[F.lit(name) for name in labels]), F.col(label)).cast("int") - 1
-    state = rows.select(_bins(model).alias("bins"), position.alias("y"), F.array(*[F.lit(0.0)] * k).alias("scores"))
-    state = _staged(state, "boosting")
+    folded = rows.select(_bins(model).alias("bins"), position.alias("y")).groupBy("bins", "y").agg(F.count("*").alias("n"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = _staged(folded.withColumn("scores", F.array(*[F.lit(0.0)] * k)).repartition(parts), "boosting")
 
     def loss(state):
         right = F.lit(0.0)
         for i, share in enumerate(_shares(F.col("scores"), k)):
             right = F.when(F.col("y") == i, share).otherwise(right)
-        units = F.round(-F.log(F.greatest(right, F.lit(LOG_LOSS_FLOOR))) * ONE).cast("long")
-        total, n = state.agg(F.sum(units.cast("decimal(38,0)")), F.count("*")).first()
+        units = F.round(-F.log(F.greatest(right, F.lit(LOG_LOSS_FLOOR))) * ONE).cast("decimal(20,0)")
+        total, n = state.agg(F.sum(units * F.col("n").cast("decimal(18,0)")), F.sum("n")).first()
         return float(total) / ONE / n if n else math.nan
 
     model.losses.append(loss(state))
@@ -173,8 +185,8 @@ def fit(training, rounds=10, depth=4, rate=0.3, label=LABEL):
         grads = {}
         for i, share in enumerate(_shares(F.col("scores"), k)):
             hit = F.when(F.col("y") == i, 1.0).otherwise(0.0)
-            grads[f"g{i}"] = F.round((share - hit) * ONE).cast("long")
-            grads[f"h{i}"] = F.round(share * (1 - share) * ONE).cast("long")
+            grads[f"g{i}"] = (F.round((share - hit) * ONE).cast("decimal(11,0)") * F.col("n").cast("decimal(18,0)")).cast("decimal(27,0)")
+            grads[f"h{i}"] = (F.round(share * (1 - share) * ONE).cast("decimal(11,0)") * F.col("n").cast("decimal(18,0)")).cast("decimal(27,0)")
         trees = _grow(_staged(state.select("bins", *[value.alias(name) for name, value in grads.items()]), "gradients"), k, len(model.features), depth, rate)
         moved = F.array(*[F.col("scores")[i] + _value(trees[i], F.col("bins")) for i in range(k)])
         state = _staged(state.withColumn("scores", moved), "boosting")
