@@ -10,10 +10,11 @@ for white space, one for all others). Texts are cut into blocks of ``BLOCK`` cha
 a phrase ends; all blocks of a batch step through all automata together, one character at a time,
 so a long text costs no more per character than a short one and whole texts are read.
 
-Defined results: a null text or one without letters is ``und`` with score 0; ties go to the first
-language in alphabetical order; rows without a language or text teach nothing; without any
-labelled rows every text is ``und``; equal texts get equal results; ids and other columns are
-never looked at, except that the caller's ``held_out`` rows do not teach.
+Defined results: a null text or one without letters (``str.isalpha``; other numerals are none) is ``und``
+with score 0; ties go to the first language in alphabetical order; rows without a language or text
+teach nothing; without any labelled rows every text is ``und``; equal texts get equal results; an empty
+table gives an empty result; rows without an id are like others; ids and other columns, whatever their
+names, are never looked at, except that the caller's ``held_out`` rows do not teach.
 """
 
 import re
@@ -21,18 +22,23 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_batches, ship
+from shelfline.llm.common import byte_batches, ship, stage
 
 SAMPLE_CHARS = 40_000  # of labelled text per language
-SAMPLE_ROWS = 200  # labelled rows per language at most; the bound of what reaches the driver
-ROW_CHARS = 2_000  # of one labelled row
+SAMPLE_ROWS = 200  # different labelled texts per language at most; with SAMPLE_CHARS the bound of what reaches the driver
+LONG_CHARS = 10_000  # longer labelled texts teach only where shorter ones do not fill the sample
 ALPHABET = 48
 BLOCK = 1024
 BATCH_CHARS = 4 << 20
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # a superset: digits of other kinds are told apart by has_letter
+
+
+def has_letter(text):
+    return any(found.group().isalpha() for found in LETTER.finditer(text))
 
 
 class Automaton:
@@ -133,7 +139,7 @@ class Parser:
 
     def predict(self, texts):
         """(language, score) of each text; the score is one less the ratio of best to second best."""
-        known = [text if text is not None and LETTER.search(text) else None for text in texts]
+        known = [text if text is not None and has_letter(text) else None for text in texts]
         usable = [i for i, text in enumerate(known) if text is not None]
         languages, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if usable and self.languages:
@@ -147,25 +153,27 @@ class Parser:
         return languages, scores
 
 
-def teaching_samples(docs, id_col, text_col, lang_col, held_out):
-    """{language: text} of at most SAMPLE_ROWS rows and SAMPLE_CHARS characters per language.
+def teaching_samples(docs, text_col, lang_col, held_out):
+    """{language: text} of at most SAMPLE_ROWS different texts and SAMPLE_CHARS characters per language.
 
-    Rows are chosen by a hash of the id; each map task keeps its best SAMPLE_ROWS per language, so
-    what moves and reaches the driver is bounded by the number of languages.
+    Texts are chosen by a hash of language and text, the lowest first, texts of over LONG_CHARS after all
+    others; they are taken whole until the sample is full. Copies of a text count once, whatever their
+    number and ids. The choice is made on hashes alone, with a partial top list in each task; only the
+    chosen texts are fetched, so SAMPLE_ROWS rows per language reach the driver at most.
     """
     text = F.col(text_col)
     rows = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & ~held_out).select(
         F.col(lang_col).cast("string").alias("lang"),
-        F.xxhash64(F.col(id_col), F.lit("teach")).alias("order"),
-        F.substring(text, 1, ROW_CHARS).alias("text"),
+        (F.length(text) > LONG_CHARS).alias("long"),
+        F.xxhash64(F.col(lang_col).cast("string"), text, F.lit("teach")).alias("order"),
+        F.substring(text, 1, SAMPLE_CHARS).alias("text"),
     )
-    counts = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = {lang: min(1.0, 0.75 * SAMPLE_ROWS / n) for lang, n in counts.items()}
-    chosen = F.lit(False)
-    for lang, part in share.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.pmod("order", F.lit(1 << 20)) < int(part * (1 << 20)) + 1))
+    keys = ["lang", "long", "order"]
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("long", "order"))
+    chosen = rows.select(*keys).distinct().withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).drop("place")
+    fetched = rows.join(F.broadcast(stage(chosen, "teaching-rows")), keys).groupBy(*keys).agg(F.min("text").alias("text"))
     samples = {}
-    for row in sorted(rows.where(chosen).toLocalIterator(), key=lambda r: (r["lang"], r["order"], r["text"])):
+    for row in sorted(fetched.collect(), key=lambda r: (r["lang"], r["long"], r["order"])):
         before = samples.get(row["lang"], "")
         if len(before) < SAMPLE_CHARS:
             samples[row["lang"]] = (before + "\n" + row["text"])[:SAMPLE_CHARS]
@@ -188,7 +196,7 @@ def identify(docs, id_col="doc_id", text_col="text", lang_col="lang", held_out=N
     spark = docs.sparkSession
     ship(spark)
     held_out = F.lit(False) if held_out is None else held_out
-    shared = spark.sparkContext.broadcast(teaching_samples(docs, id_col, text_col, lang_col, held_out))
+    shared = spark.sparkContext.broadcast(teaching_samples(docs, text_col, lang_col, held_out))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

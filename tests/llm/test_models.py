@@ -143,3 +143,25 @@ def test_latent_basis_spans_the_leading_directions(spark):
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 5, 3]), np.array([2, 9, 4, 3, 7])
     assert decontaminate.common_subsequence(a, b) == 3
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(1, "²³ ½ ①", "en"), (2, "abc def", "en"), (3, "₂ x", None), (4, "12 ٣", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs).collect()}
+    assert got[1] == got[4] == ("und", 0.0) and got[2][0] == got[3][0] == "en"
+
+
+def test_one_id_and_one_text_on_most_labelled_rows(spark):
+    """Copies and a shared id neither crowd the sample out nor grow it."""
+    r = random.Random(7)
+    rows = [(None if i % 2 else 5, speech(r, "aa", 30), "aa") for i in range(600)]
+    rows += [(5, "the same text for all of these rows", "aa")] * 700
+    rows += [(i, speech(r, "bb", 30), "bb") for i in range(20)] + [(9, "lang " * 4000 + "x", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample = language_id.teaching_samples(docs, "text", "lang", F.lit(False))
+    assert sorted(sample) == ["bb", "aa"] and all(len(text) <= language_id.SAMPLE_CHARS for text in sample.values())
+    texts = sample["aa"].split("\n")[1:]
+    assert len(texts) <= language_id.SAMPLE_ROWS and len(set(texts)) == len(texts) and {t for _, t, _ in rows} >= set(texts[:-1])
+    assert sample["bb"].index("lang lang") > sum(len(t) for _, t, lang in rows if lang == "bb" and len(t) < 1000)
+    assert language_id.teaching_samples(docs.repartition(7), "text", "lang", F.lit(False)) == sample
