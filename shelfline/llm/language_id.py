@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import byte_batches, ship, stage
 
-SAMPLE_CHARS = 40_000  # of labelled text per language
+SAMPLE_CHARS = 120_000  # of labelled text per language
 SAMPLE_ROWS = 200  # different labelled texts per language at most; with SAMPLE_CHARS the bound of what reaches the driver
-LONG_CHARS = 10_000  # longer labelled texts teach only where shorter ones do not fill the sample
+LONG_CHARS = 4_000  # longer labelled texts teach only where shorter ones do not fill the sample
 ALPHABET = 48
 BLOCK = 1024
 BATCH_CHARS = 4 << 20

@@ -160,7 +160,7 @@ def test_one_id_and_one_text_on_most_labelled_rows(spark):
     rows += [(i, speech(r, "bb", 30), "bb") for i in range(20)] + [(9, "lang " * 4000 + "x", "bb")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
     sample = language_id.teaching_samples(docs, "text", "lang", F.lit(False))
-    assert sorted(sample) == ["bb", "aa"] and all(len(text) <= language_id.SAMPLE_CHARS for text in sample.values())
+    assert sorted(sample) == ["aa", "bb"] and all(len(text) <= language_id.SAMPLE_CHARS for text in sample.values())
     texts = sample["aa"].split("\n")[1:]
     assert len(texts) <= language_id.SAMPLE_ROWS and len(set(texts)) == len(texts) and {t for _, t, _ in rows} >= set(texts[:-1])
     assert sample["bb"].index("lang lang") > sum(len(t) for _, t, lang in rows if lang == "bb" and len(t) < 1000)
