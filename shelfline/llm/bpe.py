@@ -11,7 +11,7 @@ words by the tokenizer file's own normaliser and splitter; everything after that
 
 Defined results: a null or empty text has no tokens and decodes to ""; equal texts give equal ids;
 ids below zero or past the vocabulary are an error in ``decode_batch``; very long texts and words
-are encoded whole.
+are encoded whole; an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 import hashlib

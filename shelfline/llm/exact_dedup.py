@@ -10,7 +10,7 @@ result, so the bound is safe at any size.
 
 Defined results: a null text equals an empty one; a null id is smaller than any other; of rows
 equal in text and id one stays; an empty table gives an empty result; other columns, whatever
-their names, ride along.
+their names, ride along; texts of any length are hashed whole where they are read.
 """
 
 from pyspark.sql import functions as F

@@ -9,7 +9,8 @@ the words that lose a line; absent words keep all their lines.
 
 Defined results: a null or empty text is one empty line; a row without an id is returned
 unchanged and counts for no other document; rows with one id but different texts are cut
-apart by a hash of their text and count as one document; an empty table gives an empty result.
+apart by a hash of their text and count as one document; an empty table gives an empty result; other
+columns are not read, whatever their names; a very long text has one row per line, whatever their number.
 """
 
 from pyspark.sql import functions as F

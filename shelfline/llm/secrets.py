@@ -10,7 +10,9 @@ complementary part before and after each weak part decides whether any lies with
 scope with thousands of parts makes no pairs. Only parts shuffle, never texts.
 
 Defined results: a null or empty text has no parts (the digest of an empty list); equal rows give
-equal results; a null id groups with no other row; an empty table gives an empty result.
+equal results; a null id groups with no other row; an empty table gives an empty result; other columns are
+not read, whatever their names; of parts equally near either one counts, as only the nearness does; very
+long texts are scanned whole.
 """
 
 import bisect

@@ -12,7 +12,8 @@ lost executor costs a rerun of its tasks. Global offsets are sums over the manif
 
 Defined results: a null or empty text has only the end id; null ids come first and read back as
 null; rows of one id follow each other, by text; an empty table gives an empty manifest; a damaged
-frame or table raises. Paths may be on any file system that pyarrow opens.
+frame or table raises; other columns are not read, whatever their names; a very long text is one
+document of one frame. Paths may be on any file system that pyarrow opens.
 """
 
 import struct

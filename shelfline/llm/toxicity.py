@@ -18,7 +18,9 @@ driver: folds times categories times ``KEPT`` numbers at most. Every text is sco
 Defined results: a null or empty text has no features and gets the chain's base rates; rows
 without a label teach nothing; a category with one kind of label only gets that label's rate
 (slightly smoothed) for all; with no labelled rows at all every probability is 0.5 and nothing is
-rejected; equal texts get equal scores; a label row counts once per document row of its id.
+rejected; equal texts get equal scores; a label row counts once per document row of its id; a
+probability of exactly the threshold is not toxic; a row without an id has no label and is scored like
+others; an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 import numpy as np
