@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next one's ``docs``. All but the last return the columns of ``documents``.
+
+Defined results: null and empty texts are no toxic documents, copies of each other (the row of the
+largest id stays), near copies of nothing and free of leaks, and encode to no tokens; rows without an id
+are judged by their text and never removed as near copies; of rows equal in text and id one stays; an
+empty table gives an empty result of the same columns; further columns, whatever their names, ride along
+up to the last stage, which returns its own.
 """
 
 from shelfline.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
