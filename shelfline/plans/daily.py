@@ -18,7 +18,7 @@ from shelfline.plans.marts import (
     reporting_marts,
 )
 from shelfline.sources.files import Incoming, export_marts, folder_exists
-from shelfline.sources.journal import OPEN, Journal, open_deliveries
+from shelfline.sources.journal import FILES, OPEN, Journal, open_deliveries
 
 
 def load_history(warehouse, raw):
@@ -167,13 +167,13 @@ def touched_marts(warehouse, touched, latest):
 def _begin(spark, warehouse, seen):
     """The journal of a delivery, with its list of files: from now on a repeated run goes on with these."""
     journal = Journal(warehouse, seen.name)
-    journal.table("files", lambda: spark.createDataFrame(seen.files, "path string, length long, changed string"))
+    journal.table(FILES, lambda: spark.createDataFrame(seen.files, "path string, length long, changed string"))
     return journal
 
 
 def _resumed(spark, warehouse, incoming, name):
     """A delivery that did not end, with the files that were listed when it began."""
-    files = spark.read.parquet(warehouse.path(OPEN, name, "files"))
+    files = spark.read.parquet(warehouse.path(OPEN, name, FILES))
     return Incoming(spark, incoming, files.select("path", "length", "changed").toLocalIterator())
 
 

@@ -12,7 +12,7 @@ An open journal lies in ``journal/open/<name>``; closing it moves it to ``journa
 import json
 import os
 
-OPEN, DONE = "journal/open", "journal/done"
+OPEN, DONE, FILES = "journal/open", "journal/done", "files"
 
 
 class Journal:
@@ -65,12 +65,17 @@ class Journal:
         return self.spark.read.parquet(path)
 
     def close(self, keep=True):
-        """The delivery is done. Its record moves away, in place of one of the same name, or goes."""
+        """The delivery is done. Its notes and list of files move away, in place of those of an earlier
+        delivery of the same name; the tables of its steps go. Without ``keep`` all of it goes.
+        """
         fs, path = self._hadoop()
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.warehouse.path(DONE, self.name))
         if not keep:
             fs.delete(path, True)
             return
+        for status in fs.listStatus(path) if fs.exists(path) else []:
+            if status.isDirectory() and status.getPath().getName() != FILES:
+                fs.delete(status.getPath(), True)
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.warehouse.path(DONE, self.name))
         fs.delete(target, True)
         fs.mkdirs(target.getParent())
         if fs.exists(path) and not fs.rename(path, target):
@@ -79,6 +84,6 @@ class Journal:
 
 def open_deliveries(warehouse):
     """Names of the deliveries whose run began, with its files listed, and did not end."""
-    pattern = warehouse.spark._jvm.org.apache.hadoop.fs.Path(warehouse.path(OPEN, "*", "files", "_SUCCESS"))
+    pattern = warehouse.spark._jvm.org.apache.hadoop.fs.Path(warehouse.path(OPEN, "*", FILES, "_SUCCESS"))
     fs = pattern.getFileSystem(warehouse.spark._jsparkSession.sessionState().newHadoopConf())
     return sorted(status.getPath().getParent().getParent().getName() for status in fs.globStatus(pattern) or [])

@@ -115,6 +115,22 @@ def test_a_run_stopped_in_its_append(spark, monkeypatch, straight):
     check(job, monkeypatch, straight)
 
 
+def test_a_run_stopped_while_it_closes_its_journal(spark, monkeypatch, straight):
+    """The tables of the journal are gone, its notes are not: nothing is done twice, and only notes stay."""
+    job = Job(spark)
+
+    def half(self, keep=True):
+        fs, path = self._hadoop("checked")
+        fs.delete(path, True)
+        raise Stop("close")
+
+    monkeypatch.setattr(journal.Journal, "close", half)
+    check(job, monkeypatch, straight)
+    name = os.listdir(job.warehouse.path(journal.DONE))[0]
+    kept = job.warehouse.path(journal.DONE, name)
+    assert [entry for entry in os.listdir(kept) if os.path.isdir(os.path.join(kept, entry))] == [journal.FILES]
+
+
 def test_a_run_stopped_after_its_append(spark, monkeypatch, straight):
     job = Job(spark)
     stop_at(monkeypatch, Warehouse, "append_fact", before=False)
