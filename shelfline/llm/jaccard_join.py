@@ -246,21 +246,47 @@ def _find(parent, i):
     return i
 
 
+class Asked:
+    """Pairs of keys that a task has met in earlier groups of one home; one such group suffices for a pair.
+
+    Holds at most ``most`` pairs: beyond that it forgets all, and pairs are merely asked again.
+    """
+
+    def __init__(self, most=1 << 20):
+        self.home, self.seen, self.most = None, set(), most
+
+    def new(self, home, keys, a, b):
+        """Flags of the pairs of positions (a, b) that are new."""
+        if home != self.home or len(self.seen) > self.most:
+            self.home, self.seen = home, set()
+        low, high = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
+        pairs = list(zip(low.tolist(), high.tolist()))
+        fresh = np.array([pair not in self.seen for pair in pairs], bool)
+        self.seen.update(pairs)
+        return fresh
+
+
 def survivors(grouped, percent):
-    """Of rows (group, key, component, n, bits): those with a possible link to another component."""
+    """Of rows (group, home, key, component, n, bits): those with a possible link to another component.
+
+    A pair that comes up in several groups of one home survives in the first of them only.
+    """
 
     def run(batches):
+        asked = Asked()
         for frame in runs_of(batches, "group"):
             if len(frame) < 2:
                 continue
             a, b = Group(frame["n"].to_numpy(), frame["bits"].tolist(), percent).links()
             labels = frame["component"].to_numpy()
             apart = labels[a] != labels[b]
-            used = np.unique(np.concatenate([a[apart], b[apart]]))
+            a, b = a[apart], b[apart]
+            fresh = asked.new(frame["home"].iloc[0], frame["key"].to_numpy(), a, b)
+            used = np.unique(np.concatenate([a[fresh], b[fresh]]))
             if len(used):
                 yield frame.iloc[used][["group", "key"]]
 
-    ordered = grouped.repartition("home").sortWithinPartitions("group")
+    ordered = grouped.repartition("home").sortWithinPartitions("home", "group")
     return ordered.mapInPandas(run, "group long, key long")
 
 
