@@ -179,6 +179,26 @@ def byte_batches(rows, column, limit=8 << 20):
             yield frame[piece == part].reset_index(drop=True)
 
 
+def give_back():
+    """Returns memory that numpy and Arrow have freed to the system; Python workers live on after a task."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+def released(batches):
+    """The batches of a task; at their end freed memory goes back, so that the next stage starts without it."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
 def runs_of(batches, key):
     """Complete runs of equal ``key`` of a sorted partition, over batch borders, as pandas frames."""
     import pandas as pd

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import PUNCTUATED, byte_batches, ship, stage, word_hashes
+from shelfline.llm.common import PUNCTUATED, byte_batches, give_back, released, ship, stage, word_hashes
 
 COMMON = 0.05
 LEAST_WORDS = 8
@@ -38,7 +38,8 @@ ANSWER_WORDS = 5
 ANSWER_SHARE = 0.6
 ITEM_BLOCK = 4096
 VOCABULARY_BLOCK = 2048
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
+WINDOWS_AT_ONCE = 512
 LEAK = "item_id long, cosine double, lcs_share double, answer_found boolean"
 
 
@@ -79,7 +80,7 @@ def document_frequencies(docs, text_col, vocabulary):
         known = shared.value
         lookup, rows = Lookup(known), max(1, (1 << 24) // len(known))
         totals = np.zeros(len(known), np.int64)
-        for frame in byte_batches(batches, "text", BATCH_CHARS):
+        for frame in byte_batches(released(batches), "text", BATCH_CHARS):
             words, offsets = hashed(frame["text"])
             place, at = lookup(words)
             owner = np.searchsorted(offsets, place, side="right") - 1
@@ -191,8 +192,8 @@ class Searcher:
         texts, windows, vectors = self._windows(words, offsets)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         found = []
-        for i in range(0, len(vectors), 8192):
-            cosine = vectors[i : i + 8192] @ self.vectors.T
+        for i in range(0, len(vectors), WINDOWS_AT_ONCE):
+            cosine = vectors[i : i + WINDOWS_AT_ONCE] @ self.vectors.T
             row, item = np.nonzero(cosine >= COSINE)
             found.append((texts[i + row], windows[i + row], item, cosine[row, item]))
         return [np.concatenate(part) for part in zip(*found)] if found else [np.empty(0, np.int64)] * 4
@@ -267,6 +268,7 @@ def _search_udf(shared):
         leaks = []
         for part in byte_batches([pd.DataFrame({"text": texts})], "text", BATCH_CHARS):
             leaks += shared.value.search(part["text"].tolist())
+        give_back()
         names = ["item_id", "cosine", "lcs_share", "answer_found"]
         return pd.Series([[dict(zip(names, leak)) for leak in found] for found in leaks], dtype=object)
 

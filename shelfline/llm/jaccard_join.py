@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_batches, components, mix, runs_of, shingle_sets, ship, sift, stage
+from shelfline.llm.common import byte_batches, components, mix, released, runs_of, shingle_sets, ship, sift, stage
 
 K = 5
 PERCENT = 80
@@ -98,7 +98,7 @@ def sets_table(docs, id_col, text_col, k, percent):
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for frame in byte_batches(batches, "text", BATCH_CHARS):
+        for frame in byte_batches(released(batches), "text", BATCH_CHARS):
             sizes, keys, tokens = token_sets(frame["text"], k)
             yield pd.DataFrame(
                 {
@@ -123,7 +123,7 @@ def contents(docs, wanted, id_col, text_col, k, make):
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for frame in byte_batches(batches, "text", BATCH_CHARS):
+        for frame in byte_batches(released(batches), "text", BATCH_CHARS):
             _, keys, tokens = token_sets(frame["text"], k)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "key": keys, "made": [make(t) if len(t) else b"" for t in tokens]})
 
@@ -274,7 +274,7 @@ def survivors(grouped, percent):
 
     def run(batches):
         asked = Asked()
-        for frame in runs_of(batches, "group"):
+        for frame in runs_of(released(batches), "group"):
             if len(frame) < 2:
                 continue
             a, b = Group(frame["n"].to_numpy(), frame["bits"].tolist(), percent).links()
@@ -294,7 +294,7 @@ def verified(grouped, percent):
     """Links (a, b) among rows (group, key, component, tokens), as a forest per group."""
 
     def run(batches):
-        for frame in runs_of(batches, "group"):
+        for frame in runs_of(released(batches), "group"):
             if len(frame) < 2:
                 continue
             keys = frame["key"].tolist()

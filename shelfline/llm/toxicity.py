@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import _MULTIPLIER, byte_batches, mix, ship, stage
+from shelfline.llm.common import _MULTIPLIER, byte_batches, give_back, mix, released, ship, stage
 
 SAMPLE_ROWS = 12_000
 FOLDS = 3
@@ -172,7 +172,7 @@ def training_rows(docs, labels, categories, id_col, text_col):
     joined = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["__id"]).drop("__id")  # at most about SAMPLE_ROWS rows
 
     def run(batches):
-        for frame in byte_batches(batches, "text", BATCH_CHARS):
+        for frame in byte_batches(released(batches), "text", BATCH_CHARS):
             features, counts = features_of(frame["text"])
             ends = np.cumsum(counts)
             out = frame[["doc_id", *categories]].copy()
@@ -240,6 +240,7 @@ def chances(text_col, models, categories, spark):
     def predict(texts: pd.Series) -> pd.DataFrame:
         parts = byte_batches([pd.DataFrame({"text": texts})], "text", BATCH_CHARS)
         found = [_predict_chain(shared.value, *features_of(part["text"])) for part in parts]
+        give_back()
         return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, len(names))), columns=names)
 
     return predict(text_col)
