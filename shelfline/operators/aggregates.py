@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import zero_to_null
+from shelfline.session import scratch_dir
 
 
 def first_wins(rows, keys):
@@ -104,17 +105,33 @@ def breakdown(df, by, *aggregates):
     return df.groupBy(by).agg(*aggregates)
 
 
+def _interval(value, spans, bins):
+    """(begin, bin) of the one of the sorted, disjoint ``spans`` that holds a value, or NULL."""
+    if len(spans) > 1:
+        middle = len(spans) // 2
+        return F.when(value < spans[middle][0], _interval(value, spans[:middle], bins)).otherwise(
+            _interval(value, spans[middle:], bins)
+        )
+    begin, end = spans[0]
+    part = F.call_function("div", value - F.lit(begin).cast("long"), F.lit(-(-(end - begin + 1) // bins)).cast("long"))
+    return F.when(value.between(begin, end), F.struct(F.lit(begin).cast("long").alias("begin"), part.alias("bin")))
+
+
 def quantile_cuts(df, value, shares, bins=1024):
     """One row with the exact quantiles ``cut_0, cut_1, ...`` of a decimal column.
 
     A quantile is the smallest value with at least ``share`` of all values at or below it. Each
     pass counts the values of the intervals still open in ``bins`` equal parts and narrows every
     interval to the part that holds its quantile, until a part is one value wide; so a pass
-    returns at most ``bins`` counts per quantile, and nothing is ordered or gathered.
+    returns at most ``bins`` counts per quantile, and nothing is ordered or gathered. Two open
+    intervals are the same or share no value, so a value is counted once a pass, whatever the
+    number of quantiles. The values are written once as whole numbers, which every pass reads.
     """
     kind = df.schema[value].dataType
     step = 10**kind.scale
-    values = df.where(F.col(value).isNotNull()).select((F.col(value) * step).cast("long").alias("v"))
+    path = scratch_dir(df.sparkSession, "quantile-values")
+    df.where(F.col(value).isNotNull()).select((F.col(value) * step).cast("long").alias("v")).write.parquet(path)
+    values = df.sparkSession.read.schema("v long").parquet(path)
     ends = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
     low, high, n = ends
     if not n:
@@ -122,23 +139,21 @@ def quantile_cuts(df, value, shares, bins=1024):
         return df.sparkSession.range(1).select(*[nothing.alias(f"cut_{i}") for i in range(len(shares))])
     open_parts = [(low, high, 0, share * n) for share in shares]
     while any(begin < end for begin, end, _, _ in open_parts):
-        counts = []
-        for begin, end, _, _ in open_parts:
-            width = -(-(end - begin + 1) // bins)
-            counts.append(F.when(F.col("v").between(begin, end), F.expr(f"(v - {begin}L) div {width}L")).alias("bin"))
-        tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("cut"), c) for i, c in enumerate(counts)])).alias("p")
-        seen = values.select(tagged).where("p.bin is not null").groupBy("p.cut", "p.bin").agg(F.count("*").alias("n"))
-        by_cut = {}
+        spans = sorted({(begin, end) for begin, end, _, _ in open_parts if begin < end})
+        inside = _interval(F.col("v"), spans, bins)
+        seen = values.select(inside.alias("p")).where("p is not null").groupBy("p.begin", "p.bin").agg(F.count("*").alias("n"))
+        by_begin = {}
         for row in seen.collect():
-            by_cut.setdefault(row["cut"], []).append((row["bin"], row["n"]))
+            by_begin.setdefault(row["begin"], []).append((row["bin"], row["n"]))
         narrowed = []
-        for i, (begin, end, before, rank) in enumerate(open_parts):
-            width = -(-(end - begin + 1) // bins)
-            for part, size in sorted(by_cut[i]):
-                if before + size >= rank:
-                    begin, end = begin + part * width, min(end, begin + (part + 1) * width - 1)
-                    break
-                before += size
+        for begin, end, before, rank in open_parts:
+            if begin < end:
+                width = -(-(end - begin + 1) // bins)
+                for part, size in sorted(by_begin[begin]):
+                    if before + size >= rank:
+                        begin, end = begin + part * width, min(end, begin + (part + 1) * width - 1)
+                        break
+                    before += size
             narrowed.append((begin, end, before, rank))
         open_parts = narrowed
     cuts = [Decimal(begin).scaleb(-kind.scale) for begin, _, _, _ in open_parts]

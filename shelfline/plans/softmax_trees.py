@@ -27,6 +27,8 @@ ONE = 1 << 30  # whole units of a gradient of 1
 PENALTY = 1.0
 LEAST_CURVATURE = 1.0
 LOG_LOSS_FLOOR = 1e-15
+# Sums of these two parts of whole numbers are exact in 64 bits for 2^31 numbers; the second counts 2^32.
+PARTS = [lambda value: value.bitwiseAND(F.lit((1 << 32) - 1)), lambda value: F.shiftright(value, 32)]
 
 
 @dataclass
@@ -52,12 +54,17 @@ def _staged(rows, name):
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _passed(value, cuts, least, most):
+    """How many of the ascending cuts a value is above, by halving; none for NULL."""
+    if least == most:
+        return F.lit(least)
+    middle = (least + most) // 2
+    return F.when(value > F.lit(cuts[middle]), _passed(value, cuts, middle + 1, most)).otherwise(_passed(value, cuts, least, middle))
+
+
 def _bins(model):
     """The bin of every feature; a category that was not seen counts as the first known one."""
-    columns = []
-    for name, cuts in model.cuts.items():
-        passed = [F.when(F.col(name) > F.lit(cut), 1).otherwise(0) for cut in cuts]
-        columns.append(sum(passed, F.lit(0)))
+    columns = [_passed(F.col(name), cuts, 0, len(cuts)) for name, cuts in model.cuts.items()]
     for name, known in model.codes.items():
         place = F.array_position(F.array(*[F.lit(value) for value in known]), F.col(name))
         columns.append(F.greatest(F.coalesce(place, F.lit(1)) - 1, F.lit(0)).cast("int"))
@@ -133,10 +140,11 @@ def _grow(rows, k, features, depth, rate):
             ]
         )
         reached = rows.withColumns({f"node{c}": _leaf_number(trees[c], F.col("bins")) for c in range(k)})
-        sums = reached.select(F.inline(cells)).groupBy("c", "node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        sums = reached.select(F.inline(cells)).groupBy("c", "node", "f", "bin").agg(*[F.sum(part(F.col(name))).alias(f"{name}_{i}") for name in "gh" for i, part in enumerate(PARTS)])
         found = {}
         for row in sums.collect():
-            found.setdefault((row["c"], row["node"]), {}).setdefault(row["f"], {})[row["bin"]] = (int(row["g"]), int(row["h"]))
+            g, h = (row[f"{name}_0"] + (row[f"{name}_1"] << 32) for name in "gh")
+            found.setdefault((row["c"], row["node"]), {}).setdefault(row["f"], {})[row["bin"]] = (g, h)
         for c in range(k):
             next_nodes = set()
             for node in sorted(open_nodes[c]):
@@ -158,8 +166,9 @@ def _grow(rows, k, features, depth, rate):
 def fit(training, rounds=8, depth=5, rate=0.4, label=LABEL):
     """The trees of ``rounds`` rounds; ``losses`` has the mean log-loss before the first and after each."""
     rows = _staged(clean(training).where(F.col(label).isNotNull()).select(*NUMERIC, *CATEGORICAL, label), "boosting-rows")
-    labels = sorted(row[0] for row in rows.select(label).distinct().collect())
-    codes = {name: sorted(row[0] for row in rows.select(name).distinct().collect() if row[0] is not None) or [""] for name in CATEGORICAL}
+    seen = rows.select(*[F.collect_set(name).alias(name) for name in [label, *CATEGORICAL]]).first()
+    labels = sorted(seen[label])
+    codes = {name: sorted(seen[name]) or [""] for name in CATEGORICAL}
     shares = [(i + 1) / BINS for i in range(BINS - 1)]
     cuts = {}
     for name in NUMERIC:
@@ -185,8 +194,8 @@ def fit(training, rounds=8, depth=5, rate=0.4, label=LABEL):
         grads = {}
         for i, share in enumerate(_shares(F.col("scores"), k)):
             hit = F.when(F.col("y") == i, 1.0).otherwise(0.0)
-            grads[f"g{i}"] = (F.round((share - hit) * ONE).cast("decimal(11,0)") * F.col("n").cast("decimal(18,0)")).cast("decimal(27,0)")
-            grads[f"h{i}"] = (F.round(share * (1 - share) * ONE).cast("decimal(11,0)") * F.col("n").cast("decimal(18,0)")).cast("decimal(27,0)")
+            grads[f"g{i}"] = F.round((share - hit) * ONE).cast("long") * F.col("n")
+            grads[f"h{i}"] = F.round(share * (1 - share) * ONE).cast("long") * F.col("n")
         trees = _grow(_staged(state.select("bins", *[value.alias(name) for name, value in grads.items()]), "gradients"), k, len(model.features), depth, rate)
         moved = F.array(*[F.col("scores")[i] + _value(trees[i], F.col("bins")) for i in range(k)])
         state = _staged(state.withColumn("scores", moved), "boosting")

@@ -3,6 +3,8 @@ import os
 import random
 
 import pytest
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.plans import bias_model as B
 from shelfline.plans import softmax_trees as S
@@ -62,3 +64,19 @@ def test_probabilities_sum_to_one_and_a_saved_model_scores_alike(spark, rows, mo
     assert all(math.isclose(sum(row.probabilities), 1, rel_tol=1e-9) for row in scored.collect())
     odd = spark.createDataFrame([(None, 1.0, None, None, "Hail", "Summer", None)], TRAINING)
     assert S.score(model, odd).first()[B.PREDICTED] in model.labels
+
+
+def test_sums_of_many_equal_rows_stay_exact():
+    """Both parts of a whole number add up to it, and sums of parts to sums of numbers."""
+    spark = SparkSession.active()
+    numbers = [n * S.ONE * sign + i for i, n in enumerate((1, 3 << 20, 1 << 32)) for sign in (1, -1)]
+    rows = spark.createDataFrame([(n,) for n in numbers * 9], "n long")
+    low, high = rows.agg(*[F.sum(part(F.col("n"))) for part in S.PARTS]).first()
+    assert low + (high << 32) == 9 * sum(numbers)
+
+
+def test_bins_by_halving_equal_counted_cuts(spark):
+    cuts = [-1.5, 0.0, 2.25, 7.0, 7.5]
+    values = [-9.0, -1.5, -1.0, 0.0, 0.1, 2.25, 7.0, 7.2, 7.5, 8.0, None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", S._passed(F.col("v"), cuts, 0, len(cuts)).alias("bin"))
+    assert all(row.bin == (0 if row.v is None else sum(row.v > cut for cut in cuts)) for row in rows.collect())
