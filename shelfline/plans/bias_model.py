@@ -2,12 +2,13 @@
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.arithmetic import zero_to_null
 from shelfline.functions.cleaning import known_or_first, lower_text, yes_no_to_digit
+from shelfline.session import scratch_dir
 
 # Feature, label and output columns.
 NUMERIC = ["demand_forecast", "price", "discount"]
@@ -17,6 +18,10 @@ LABEL = "forecast_accuracy_flag"
 PREDICTED = "forecast_predicted_flag"
 
 CODES = [f"{name}_code" for name in CATEGORICAL]
+BINNED = [f"{name}_bin" for name in NUMERIC]
+BINS = 32  # as many as Spark's trees cut a number into
+BIN_ERROR = 0.001  # of the rank of a bin's bound
+COPIES = "copies"
 SEED = 42
 SPLIT_BUCKETS = 4096
 SCORE_PLACES = 6
@@ -51,8 +56,13 @@ def category_encoder():
     return StringIndexer(inputCols=CATEGORICAL, outputCols=CODES, stringOrderType="alphabetAsc")
 
 
-def assembler():
-    return VectorAssembler(inputCols=NUMERIC + CODES, outputCol="features")
+def assembler(numbers=NUMERIC):
+    return VectorAssembler(inputCols=[*numbers, *CODES], outputCol="features")
+
+
+def number_bins():
+    """Numbers to the number of their quantile bin; bounds come from all rows."""
+    return QuantileDiscretizer(inputCols=NUMERIC, outputCols=BINNED, numBuckets=BINS, relativeError=BIN_ERROR)
 
 
 def boosted_trees(max_iter=20, max_depth=5):
@@ -69,10 +79,13 @@ def stratified_split(rows, keys, label=LABEL, share=0.8, seed=SEED):
     """``is_train`` per row: the same on every run, and ``share`` of each label.
 
     Rows are hashed into buckets by key and seed. The counts per label and bucket (a few
-    thousand rows however large the data) tell up to which bucket a label's share reaches.
+    thousand rows however large the data) tell up to which bucket a label's share reaches. The
+    hashed rows are written once, as both the counts and the result read them.
     """
     bucket = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(SPLIT_BUCKETS))
-    hashed = rows.withColumn("_bucket", bucket)
+    path = scratch_dir(rows.sparkSession, "hashed-rows")
+    rows.withColumn("_bucket", bucket).write.parquet(path)
+    hashed = rows.sparkSession.read.parquet(path)
     by_label = Window.partitionBy(label)
     so_far = by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
@@ -87,13 +100,36 @@ def stratified_split(rows, keys, label=LABEL, share=0.8, seed=SEED):
     return hashed.join(cuts, [label, "_bucket"]).drop("_bucket").select(*rows.columns, "is_train")
 
 
+def _draws_rows(classifier):
+    """Whether each tree draws its own rows, so that equal rows may not be folded."""
+    return classifier.hasParam("bootstrap") and classifier.getOrDefault("bootstrap")
+
+
+def folded(coded, features):
+    """Equal rows of label and features as one row with their number, written once."""
+    path = scratch_dir(coded.sparkSession, "folded-rows")
+    coded.groupBy("label", *features).agg(F.count("*").cast("double").alias(COPIES)).write.parquet(path)
+    return coded.sparkSession.read.parquet(path)
+
+
 def fit(training, classifier=None):
-    """One fitted pipeline: encoders, features, classifier and label decoder."""
-    cleaned = clean(training)
-    labels = label_encoder().fit(cleaned)
-    decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=labels.labels)
-    stages = [labels, category_encoder(), assembler(), classifier or boosted_trees(), decoder]
-    return Pipeline(stages=stages).fit(cleaned)
+    """One fitted pipeline: encoders, features, classifier and label decoder.
+
+    Boosted trees pass over their rows some hundred times. They see a number only by its bin, so rows
+    of equal bins, codes and label are folded into one weighted row before the first pass; there are at
+    most as many as combinations of these. A forest draws rows for each tree and gets them unfolded.
+    """
+    classifier = classifier or boosted_trees()
+    cleaned = clean(training).select(*FEATURES, LABEL)
+    if _draws_rows(classifier):
+        coding = Pipeline(stages=[label_encoder(), category_encoder()]).fit(cleaned)
+        vectors, rows = assembler(), coding.transform(cleaned)
+    else:
+        coding = Pipeline(stages=[label_encoder(), category_encoder(), number_bins()]).fit(cleaned)
+        vectors, rows = assembler(BINNED), folded(coding.transform(cleaned), BINNED + CODES)
+        classifier = classifier.copy({classifier.weightCol: COPIES})
+    decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=coding.stages[0].labels)
+    return PipelineModel([*coding.stages, vectors, classifier.fit(vectors.transform(rows)), decoder])
 
 
 def known_labels(model):

@@ -1,10 +1,12 @@
+import math
 import os
 from decimal import Decimal
 
 import pytest
+from pyspark.ml.classification import OneVsRest
 from pyspark.sql import functions as F
 
-from shelfline.operators.aggregates import count_matrix
+from shelfline.operators.aggregates import count_matrix, quantile_cuts
 from shelfline.plans import bias_model as B
 from shelfline.session import scratch_dir
 from shelfline.sources.files import read_scoring_csv
@@ -82,3 +84,42 @@ def test_best_model_is_the_more_accurate_one(rows):
     candidates = {"stump": B.forest(num_trees=1, max_depth=1), "forest": B.forest(num_trees=5)}
     best, model, scores = B.best_model(candidates, rows, rows)
     assert best == max(scores, key=scores.get) and B.score(model, rows).count() == 600
+
+
+def test_boosted_trees_pass_over_folded_rows(rows, monkeypatch):
+    seen, fit = [], OneVsRest._fit
+
+    def spied(self, dataset):
+        seen.append(dataset.agg(F.count("*"), F.sum(B.COPIES)).first())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(OneVsRest, "_fit", spied)
+    model = B.fit(rows.unionByName(rows), B.boosted_trees(max_iter=2, max_depth=3))
+    assert seen[0][0] <= 600 and seen[0][1] == 1200
+    assert B.accuracy(B.score(model, rows)).first().accuracy > Decimal("0.9")
+
+
+def test_a_forest_draws_from_unfolded_rows(rows, monkeypatch):
+    monkeypatch.setattr(B, "folded", None)
+    assert B.score(B.fit(rows, B.forest(num_trees=2)), rows).count() == 600
+
+
+def test_split_evaluates_its_rows_once(spark, rows):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(label):
+        calls.add(1)
+        return label
+
+    assert B.stratified_split(rows.withColumn(B.LABEL, counted(B.LABEL)), ["id"]).count() == 600
+    assert calls.value == 600
+
+
+def test_quantiles_count_a_value_once_a_pass(spark, monkeypatch):
+    values = sorted((i * 7919 % 5000) ** 2 / 100 - 1000 for i in range(999))
+    shares = [i / 32 for i in range(1, 32)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").select(F.col("v").cast("decimal(18,4)").alias("v"))
+    monkeypatch.setattr(F, "explode", None)
+    cuts = quantile_cuts(df, "v", shares, bins=16).first()
+    assert [float(cut) for cut in cuts] == [values[math.ceil(share * 999) - 1] for share in shares]
