@@ -47,17 +47,34 @@ def day(text):
     return F.lit(text).cast("date")
 
 
-def raw_facts(spark, sf_dir, condition=None):
-    flat = D.folded_facts(spark, sf_dir)
-    return D.raw_inventory(flat if condition is None else flat.where(condition))
+def written_once(rows, label):
+    """The same rows, read from files: a query that loads its input several times computes it once."""
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def raw_history(spark, sf_dir):
-    return raw_facts(spark, sf_dir, F.col("full_date") < day(LAST_DAY))
+class RawFacts:
+    """The facts as text columns, computed once, whole or by their dates."""
+
+    def __init__(self, spark, sf_dir):
+        self.rows = written_once(D.raw_inventory(D.folded_facts(spark, sf_dir), "full_date"), "raw-facts")
+
+    def where(self, condition):
+        return self.rows.where(condition).drop("full_date")
+
+    def all(self):
+        return self.rows.drop("full_date")
 
+    def history(self):
+        return self.where(F.col("full_date") < day(LAST_DAY))
 
-def raw_last_day(spark, sf_dir):
-    return raw_facts(spark, sf_dir, F.col("full_date") == day(LAST_DAY))
+    def last_day(self):
+        return self.where(F.col("full_date") == day(LAST_DAY))
+
+
+def raw_history(spark, sf_dir):
+    return D.raw_inventory(D.folded_facts(spark, sf_dir).where(F.col("full_date") < day(LAST_DAY)))
 
 
 def raw_forecast(spark, sf_dir):
@@ -82,13 +99,13 @@ def write_both_orders(rows, folder):
 
 
 def write_incoming(spark, sf_dir, folder):
-    files.write_csv(raw_facts(spark, sf_dir), os.path.join(folder, "19950128.csv"))
+    files.write_csv(D.raw_inventory(D.folded_facts(spark, sf_dir)), os.path.join(folder, "19950128.csv"))
     files.write_csv(raw_forecast(spark, sf_dir), os.path.join(folder, "forecast_batch_19950128.csv"))
     return folder
 
 
-def write_last_day(spark, sf_dir, folder):
-    files.write_csv(raw_last_day(spark, sf_dir), os.path.join(folder, "19950128.csv"))
+def write_last_day(spark, sf_dir, raw, folder):
+    files.write_csv(raw.last_day(), os.path.join(folder, "19950128.csv"))
     files.write_csv(raw_forecast(spark, sf_dir), os.path.join(folder, "forecast_batch_19950128.csv"))
 
 
@@ -97,13 +114,13 @@ def write_last_day(spark, sf_dir, folder):
 
 @query("a1_read_inventory_csv", sql.folded(RAW_INVENTORY_SQL + " FROM facts"))
 def read_inventory_csv(spark, sf_dir):
-    path = write_both_orders(raw_facts(spark, sf_dir), scratch_dir(spark, "a1"))
+    path = write_both_orders(RawFacts(spark, sf_dir).all(), scratch_dir(spark, "a1"))
     return readable(files.read_inventory_csv(spark, path))
 
 
 @query("a2_read_forecast_csv", sql.folded(RAW_FORECAST_SQL))
 def read_forecast_csv(spark, sf_dir):
-    path = write_both_orders(raw_forecast(spark, sf_dir), scratch_dir(spark, "a2"))
+    path = write_both_orders(written_once(raw_forecast(spark, sf_dir), "raw-forecast"), scratch_dir(spark, "a2"))
     return files.read_forecast_csv(spark, path).withColumnsRenamed(loads.FORECAST_NAMES)
 
 
@@ -127,9 +144,10 @@ def route_incoming_files(spark, sf_dir):
 def append_raw_inventory(spark, sf_dir):
     """Two batches are appended; the second is written twice and still counts once."""
     warehouse = Warehouse(spark, scratch_dir(spark, "a4"))
-    warehouse.append_raw(raw_history(spark, sf_dir), "history")
+    raw = RawFacts(spark, sf_dir)
+    warehouse.append_raw(raw.history(), "history")
     for _ in range(2):
-        warehouse.append_raw(raw_last_day(spark, sf_dir), "19950128")
+        warehouse.append_raw(raw.last_day(), "19950128")
     rows = readable(warehouse.read("raw/inventory_dump"))
     return rows.groupBy("full_date").agg(F.count("*").alias("row_count"))
 
@@ -138,7 +156,7 @@ def append_raw_inventory(spark, sf_dir):
 def replace_raw_forecast(spark, sf_dir):
     """An older snapshot is replaced by the newest one, also when both arrive together."""
     warehouse = Warehouse(spark, scratch_dir(spark, "a5"))
-    newest = raw_forecast(spark, sf_dir)
+    newest = written_once(raw_forecast(spark, sf_dir), "raw-forecast")
     older = newest.withColumn("Forecasted On", F.lit("27/01/95"))
     warehouse.replace("raw/demand_forecast_7d", older)
     warehouse.replace("raw/demand_forecast_7d", loads.newest_snapshot(older.unionByName(newest)))
@@ -147,9 +165,9 @@ def replace_raw_forecast(spark, sf_dir):
 
 def write_feed(spark, sf_dir, folder):
     """The facts as two date-named batches of CSV files."""
-    early = F.col("full_date") <= day(SPLIT_DAY)
-    files.write_csv(raw_facts(spark, sf_dir, early), os.path.join(folder, "19950114.csv"))
-    files.write_csv(raw_facts(spark, sf_dir, ~early), os.path.join(folder, "19950128.csv"))
+    raw, early = RawFacts(spark, sf_dir), F.col("full_date") <= day(SPLIT_DAY)
+    files.write_csv(raw.where(early), os.path.join(folder, "19950114.csv"))
+    files.write_csv(raw.where(~early), os.path.join(folder, "19950128.csv"))
 
 
 @query(
@@ -334,7 +352,7 @@ def named_facts(star):
 def history_facts(spark, sf_dir):
     """Each raw row arrives twice, and the history is loaded again: rows load once."""
     copies = F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")
-    twice = raw_history(spark, sf_dir).select("*", copies).drop("copy")
+    twice = RawFacts(spark, sf_dir).history().select("*", copies).drop("copy")
     warehouse = Warehouse(spark, scratch_dir(spark, "w5"))
     daily.load_history(warehouse, twice)
     daily.load_history(warehouse, twice)
@@ -395,10 +413,10 @@ def sync_dates(spark, sf_dir):
 @query("w10_daily_facts", sql.folded(FACT_SQL))
 def daily_facts(spark, sf_dir):
     """History, then the last day twice; the repetition changes nothing."""
-    warehouse = Warehouse(spark, scratch_dir(spark, "w10"))
-    daily.load_history(warehouse, raw_history(spark, sf_dir))
+    warehouse, raw = Warehouse(spark, scratch_dir(spark, "w10")), RawFacts(spark, sf_dir)
+    daily.load_history(warehouse, raw.history())
     for _ in range(2):
-        daily.load_batch(warehouse, raw_last_day(spark, sf_dir))
+        daily.load_batch(warehouse, raw.last_day())
     return named_facts(warehouse.star())
 
 
@@ -416,8 +434,9 @@ def daily_run(spark, sf_dir):
     base = scratch_dir(spark, "w12")
     incoming = os.path.join(base, "incoming")
     warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
-    daily.load_history(warehouse, raw_history(spark, sf_dir))
-    write_last_day(spark, sf_dir, incoming)
+    raw = RawFacts(spark, sf_dir)
+    daily.load_history(warehouse, raw.history())
+    write_last_day(spark, sf_dir, raw, incoming)
     for _ in range(2):
         daily.run_daily(
             spark, warehouse, incoming, "1995-01-28", os.path.join(base, "export"), os.path.join(base, "archive")
@@ -434,10 +453,11 @@ def all_dates(spark, sf_dir):
     base = scratch_dir(spark, "w13")
     incoming = os.path.join(base, "incoming")
     warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
-    files.write_csv(raw_last_day(spark, sf_dir), os.path.join(incoming, "19950128.csv"))
-    files.write_csv(raw_history(spark, sf_dir), os.path.join(incoming, "store_19950127.csv"))
+    raw = RawFacts(spark, sf_dir)
+    files.write_csv(raw.last_day(), os.path.join(incoming, "19950128.csv"))
+    files.write_csv(raw.history(), os.path.join(incoming, "store_19950127.csv"))
     daily.run_daily(spark, warehouse, incoming, archive=os.path.join(base, "archive"))
-    files.write_csv(raw_history(spark, sf_dir), os.path.join(incoming, "late.csv"))
+    files.write_csv(raw.history(), os.path.join(incoming, "late.csv"))
     daily.run_daily(spark, warehouse, incoming, archive=os.path.join(base, "archive"))
     return named_facts(warehouse.star()).groupBy("full_date").agg(F.count("*").alias("row_count"))
 
@@ -472,9 +492,10 @@ def restarted_run(spark, sf_dir):
     incoming, export, archive = (os.path.join(base, name) for name in ("incoming", "export", "archive"))
     warehouse = StopsOnce(spark, os.path.join(base, "warehouse"))
     warehouse.stopped = True
-    daily.load_history(warehouse, raw_history(spark, sf_dir))
+    raw = RawFacts(spark, sf_dir)
+    daily.load_history(warehouse, raw.history())
     warehouse.stopped = False
-    write_last_day(spark, sf_dir, incoming)
+    write_last_day(spark, sf_dir, raw, incoming)
     try:
         daily.run_daily(spark, warehouse, incoming, LAST_DAY, export, archive)
     except InterruptedError:
@@ -498,10 +519,10 @@ def restarted_run(spark, sf_dir):
 
 def stored(spark, sf_dir, name):
     """A warehouse with the history, and the last day loaded twice as a delivery."""
-    warehouse = Warehouse(spark, scratch_dir(spark, name))
-    daily.load_history(warehouse, raw_history(spark, sf_dir))
+    warehouse, raw = Warehouse(spark, scratch_dir(spark, name)), RawFacts(spark, sf_dir)
+    daily.load_history(warehouse, raw.history())
     for _ in range(2):
-        daily.load_batch(warehouse, raw_last_day(spark, sf_dir))
+        daily.load_batch(warehouse, raw.last_day())
     return warehouse
 
 
@@ -557,7 +578,8 @@ REJECTED_SQL = sql.folded(
 def rejected_rows(spark, sf_dir):
     """The last day with each row twice, once with a negative stock and once without a store."""
     warehouse = Warehouse(spark, scratch_dir(spark, "q8"))
-    day_rows = raw_last_day(spark, sf_dir)
+    flat = D.folded_facts(spark, sf_dir).where(F.col("full_date") == day(LAST_DAY))
+    day_rows = written_once(D.raw_inventory(flat), "last-day")
     negative = day_rows.withColumn("Inventory Level", F.lit("-1"))
     homeless = day_rows.withColumn("Store ID", F.lit(None).cast("string"))
     bad = day_rows.unionByName(day_rows).unionByName(negative).unionByName(homeless)
@@ -639,7 +661,7 @@ def lost_skus(spark, sf_dir):
 def row_counts(spark, sf_dir):
     """Counts seen while writing, without another pass over the rows."""
     warehouse = Warehouse(spark, scratch_dir(spark, "q6"))
-    inventory, seen_inventory = quality.observe_rows(raw_facts(spark, sf_dir), "inventory_dump")
+    inventory, seen_inventory = quality.observe_rows(D.raw_inventory(D.folded_facts(spark, sf_dir)), "inventory_dump")
     forecast, seen_forecast = quality.observe_rows(raw_forecast(spark, sf_dir), "demand_forecast_7d")
     warehouse.append_raw(inventory, "19950128")
     warehouse.replace("raw/demand_forecast_7d", forecast)
@@ -675,9 +697,9 @@ def land_feed(spark, sf_dir):
     """
     base = scratch_dir(spark, "st1")
     incoming, landed = os.path.join(base, "incoming"), os.path.join(base, "landed")
-    early = F.col("full_date") <= day(SPLIT_DAY)
+    raw, early = RawFacts(spark, sf_dir), F.col("full_date") <= day(SPLIT_DAY)
     for name, condition, usual in (("19950114.csv", early, True), ("store_19950128.csv", ~early, False)):
-        rows = raw_facts(spark, sf_dir, condition)
+        rows = raw.where(condition)
         files.write_csv(rows if usual else reordered(rows), os.path.join(incoming, name))
         feed.land_feed(
             feed.read_feed(spark, incoming, os.path.join(base, "archive")),
@@ -701,7 +723,7 @@ def feed_snapshot(spark, sf_dir):
     base = scratch_dir(spark, "st4")
     incoming = os.path.join(base, "incoming")
     warehouse = Warehouse(spark, os.path.join(base, "warehouse"))
-    newest = raw_forecast(spark, sf_dir)
+    newest = written_once(raw_forecast(spark, sf_dir), "raw-forecast")
     write_feed(spark, sf_dir, incoming)
     files.write_csv(newest, os.path.join(incoming, "part-north_forecast_batch_19950128.csv"))
     feed.load_feed(feed.read_feed(spark, incoming), warehouse, os.path.join(base, "checkpoint"))
@@ -734,7 +756,7 @@ def first_row_per_key(spark, sf_dir):
     """Every row arrives twice in each of two files and is kept once."""
     base = scratch_dir(spark, "st3")
     incoming, landed = os.path.join(base, "incoming"), os.path.join(base, "landed")
-    raw = raw_facts(spark, sf_dir)
+    raw = RawFacts(spark, sf_dir).all()
     for name in ("19950128.csv", "again.csv"):
         files.write_csv(raw.unionByName(raw), os.path.join(incoming, name))
         feed.land_first(feed.read_feed(spark, incoming), landed, os.path.join(base, "checkpoint"))

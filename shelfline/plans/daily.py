@@ -17,6 +17,7 @@ from shelfline.plans.marts import (
     forecast_deviation,
     reporting_marts,
 )
+from shelfline.session import scratch_dir
 from shelfline.sources.files import Incoming, export_marts, folder_exists
 from shelfline.sources.journal import FILES, OPEN, Journal, open_deliveries
 
@@ -30,7 +31,8 @@ def load_history(warehouse, raw):
     seen = raw.agg(F.sum(F.xxhash64(*raw.columns).cast("decimal(38,0)")), F.count("*")).first()
     name = f"history-{abs(seen[0] or 0)}-{seen[1]}"
     journal = Journal(warehouse, name)
-    journal.once("raw", lambda: warehouse.append_raw(raw, name))
+    if not warehouse.has_raw(name):
+        warehouse.append_raw(raw, name)
     raw = warehouse.raw_batch(name)
 
     def members():
@@ -47,18 +49,24 @@ def load_history(warehouse, raw):
 def _append_facts(warehouse, batch, name, journal):
     """New facts to the fact, rows that break a constraint to the reject table; touched dates.
 
-    The batch is evaluated once, into a table of the journal, and so are its new facts. The touched
+    The batch is evaluated once, into a table of the journal with the first row of each key, and so are
+    its rejects and its new facts. Where there was no fact yet all first rows are new. The touched
     dates are written before the first row is appended: after a stop in between, the rows that are
     missing still are appended, and the dates are those of all of them.
     """
     star = warehouse.star()
-    checked = journal.table("checked", lambda: loads.checked_facts(batch, star.dim_date, star.dim_store, star.dim_product))
+    first = journal.table(
+        "first_rows", lambda: loads.first_rows(loads.checked_facts(batch, star.dim_date, star.dim_store, star.dim_product))
+    )
     if not journal.done("rejected"):
-        rejected = loads.rejected_rows(checked)
+        rejected = journal.table("rejected_rows", lambda: loads.rejected_rows(first))
         if not rejected.isEmpty():
             warehouse.reject(rejected, name)
         journal.write("rejected")
-    fresh = journal.table("new_facts", lambda: loads.new_facts(star.fact, checked))
+    if journal.once("no_fact_before", lambda: not warehouse.fact_dates()):
+        fresh = loads.good_rows(first)
+    else:
+        fresh = journal.table("new_facts", lambda: loads.missing_facts(star.fact, loads.good_rows(first)))
     touched = journal.once("touched", lambda: sorted(row["date_key"] for row in fresh.select("date_key").distinct().collect()))
     # Facts that were there before any sums were kept are summed once, as a whole.
     whole = journal.once("sum_all", lambda: bool(warehouse.fact_dates()) and not turnover.versions(warehouse))
@@ -73,14 +81,22 @@ def _append_facts(warehouse, batch, name, journal):
     return touched
 
 
-def _sync_members(warehouse, batch):
+def _sync_members(warehouse, batch, journal):
+    """Each dimension's columns of the batch are read once: its distinct texts are a table of the journal."""
     star = warehouse.star()
-    if not loads.changed_stores(star.dim_store, batch).isEmpty():
-        warehouse.replace("dwh/dim_store", loads.sync_stores(star.dim_store, batch))
-    if not loads.changed_products(star.dim_product, batch).isEmpty():
-        warehouse.replace("dwh/dim_product", loads.sync_products(star.dim_product, batch))
-    if not loads.new_dates(star.dim_date, batch).isEmpty():
-        warehouse.replace("dwh/dim_date", loads.sync_dates(star.dim_date, batch))
+
+    def distinct(step, *columns):
+        return journal.table(step, lambda: batch.select(*columns).distinct())
+
+    stores = distinct("batch_stores", "Store ID", "Region")
+    products = distinct("batch_products", "Product ID", "Category")
+    dates = distinct("batch_dates", "Date", "Seasonality")
+    if not loads.changed_stores(star.dim_store, stores).isEmpty():
+        warehouse.replace("dwh/dim_store", loads.sync_stores(star.dim_store, stores))
+    if not loads.changed_products(star.dim_product, products).isEmpty():
+        warehouse.replace("dwh/dim_product", loads.sync_products(star.dim_product, products))
+    if not loads.new_dates(star.dim_date, dates).isEmpty():
+        warehouse.replace("dwh/dim_date", loads.sync_dates(star.dim_date, dates))
 
 
 def load_batch(warehouse, batch, name="batch", journal=None):
@@ -92,7 +108,7 @@ def load_batch(warehouse, batch, name="batch", journal=None):
     """
     own = journal is None
     journal = Journal(warehouse, f"{name}-{uuid.uuid4().hex[:12]}") if own else journal
-    journal.once("dimensions", lambda: _sync_members(warehouse, batch))
+    journal.once("dimensions", lambda: _sync_members(warehouse, batch, journal))
     touched = _append_facts(warehouse, batch, name, journal)
     if own:
         journal.close(keep=False)
@@ -102,10 +118,13 @@ def load_batch(warehouse, batch, name="batch", journal=None):
 def load_snapshot(warehouse, forecast):
     """The newest forecast of the delivery replaces the stored one unless that is newer.
 
-    Returns its number of rows, 0 if the stored one stays.
+    The delivery's files are read once. Returns its number of rows, 0 if the stored one stays.
     """
+    path = scratch_dir(warehouse.spark, "forecast")
+    forecast.write.parquet(path)
+    forecast = warehouse.spark.read.schema(forecast.schema).parquet(path)
     newest = loads.newest_snapshot(forecast)
-    made_on = loads.forecast_date(newest)
+    made_on = loads.forecast_date(forecast)
     stored = loads.forecast_date(warehouse.read("raw/demand_forecast_7d"))
     if made_on is None or (stored is not None and stored > made_on):
         return 0

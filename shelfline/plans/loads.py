@@ -8,7 +8,6 @@ from shelfline.operators.aggregates import first_wins, unique_members
 from shelfline.operators.filters import at_latest, with_key
 from shelfline.operators.joins import insert_if_absent, lookup_keys, member_changes, upsert_members
 from shelfline.operators.keys import assign_keys
-from shelfline.operators.quality import duplicate_keys
 from shelfline.schemas import FACT, FACT_KEY, FORECAST, FOREIGN_KEYS, NON_NEGATIVE
 
 # Member states. The first load spells the product state in lower case.
@@ -50,6 +49,7 @@ FORECAST_NAMES = {
 }
 
 KEYED = ["store_key", "product_key"]
+NATURAL = ["store_id", "product_id"]
 
 
 def with_dates(raw):
@@ -80,9 +80,9 @@ def product_members(raw):
 
 
 def observed_dates(raw):
-    return raw.select(
-        parse_short_date(F.col("Date")).alias("full_date"), F.col("Seasonality").alias("season")
-    )
+    """Distinct dates with their seasons; a text is parsed once, not once a row."""
+    seen = raw.select("Date", "Seasonality").distinct()
+    return seen.select(parse_short_date(F.col("Date")).alias("full_date"), F.col("Seasonality").alias("season"))
 
 
 def date_rows(dates, padded=False):
@@ -226,15 +226,26 @@ def checked_facts(batch, dim_date, dim_store, dim_product):
     return rows.withColumn("rule", rule).drop("_date")
 
 
-def rejected_rows(checked):
+def first_rows(checked):
+    """The first row per rule and primary key, and how many (``copies``) there are of it."""
+    rest = [name for name in FACT.fieldNames() if name not in FACT_KEY]
+    first = checked.groupBy("rule", *FACT_KEY, *NATURAL).agg(F.min(F.struct(*rest)).alias("_row"), F.count("*").alias("copies"))
+    return first.select("rule", *NATURAL, *FACT_KEY, "_row.*", "copies")
+
+
+def good_rows(first):
+    """Facts of :func:`first_rows` without a broken rule."""
+    return first.where(F.col("rule").isNull()).select(*FACT.fieldNames())
+
+
+def rejected_rows(first):
     """Rows (rule, date_key, store_id, product_id, row_count) of all broken rules, repeated keys included.
 
     Of several good rows with one primary key the first is loaded, the others are counted here.
     """
-    names = ["date_key", "store_id", "product_id"]
-    broken = checked.where(F.col("rule").isNotNull()).groupBy("rule", *names).agg(F.count("*").alias("row_count"))
-    good = checked.where(F.col("rule").isNull())
-    repeated = duplicate_keys(good, names).select(
+    names = ["date_key", *NATURAL]
+    broken = first.where(F.col("rule").isNotNull()).groupBy("rule", *names).agg(F.sum("copies").alias("row_count"))
+    repeated = first.where("rule is null and copies > 1").select(
         F.lit("primary key is repeated").alias("rule"), *names, (F.col("copies") - 1).alias("row_count")
     )
     return broken.unionByName(repeated)
@@ -245,13 +256,6 @@ def missing_facts(fact, rows):
     return insert_if_absent(touched_partitions(fact, rows), rows, FACT_KEY).select(*FACT.fieldNames())
 
 
-def new_facts(fact, checked):
-    """Facts of the rows without a broken rule whose key is not loaded yet."""
-    keyed = checked.where(F.col("rule").isNull()).select(*FACT.fieldNames())
-    first = first_wins(keyed, FACT_KEY)
-    return insert_if_absent(touched_partitions(fact, keyed), first, FACT_KEY).select(*FACT.fieldNames())
-
-
 def typed_forecast(raw):
     """Forecast text to the typed snapshot; empty numbers become NULL."""
     renamed = raw.withColumnsRenamed(FORECAST_NAMES)

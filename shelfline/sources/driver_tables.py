@@ -212,8 +212,8 @@ def star(spark, sf_dir, folded=False):
     return Star(fact, dim_date, dim_store, dim_product)
 
 
-def raw_inventory(flat):
-    """Flat inventory as the text columns of the daily input file."""
+def raw_inventory(flat, *keep):
+    """Flat inventory as the text columns of the daily input file, and the columns to ``keep``."""
     values = [
         short_date_text(F.col("full_date")),
         *[F.col(name) for name in ("store_id", "product_id", "category", "region")],
@@ -224,7 +224,7 @@ def raw_inventory(flat):
         F.col("competitor_price").cast("string"),
         F.col("season"),
     ]
-    return flat.select(*[v.alias(name) for v, name in zip(values, RAW_INVENTORY_COLUMNS)])
+    return flat.select(*[v.alias(name) for v, name in zip(values, RAW_INVENTORY_COLUMNS)], *keep)
 
 
 def raw_forecast(forecast):

@@ -9,6 +9,8 @@ are written per batch folder or per date partition.
 import hashlib
 import os
 
+from pyspark.sql import functions as F
+
 from shelfline import schemas
 from shelfline.operators.joins import Star
 from shelfline.operators.quality import enforced
@@ -51,7 +53,8 @@ class Warehouse:
 
     def _load(self, table, paths):
         if not paths:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in SCHEMAS[table]]
+            return self.spark.range(0).select(*columns)
         return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
 
     def read(self, table):
@@ -63,6 +66,10 @@ class Warehouse:
             folders = folders[-1:]
         return self._load(table, [self.path(table, name) for name in folders])
 
+    def has_raw(self, batch):
+        """Whether a batch of raw rows has been written to its end."""
+        return f"batch-{batch}" in self._committed(RAW_INVENTORY_TABLE)
+
     def raw_batch(self, batch):
         return self._load(RAW_INVENTORY_TABLE, [self.path(RAW_INVENTORY_TABLE, f"batch-{batch}")])
 
