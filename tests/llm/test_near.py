@@ -223,3 +223,24 @@ def test_words_are_hashed_alike_in_any_company():
     together, offsets = word_hashes(texts)
     assert [together[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == alone
     assert [len(a) for a in alone] == [3, 0, 0, 1, 2, 1] and alone[4][0] != alone[4][1]
+
+
+def test_holders_between_the_first_and_the_one_before_count(spark):
+    """Each half of a run is held by an earlier and a later document than the one that holds the whole run."""
+    rng = random.Random(11)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(8):
+        left, right = text(26 + i), text(26 + i)
+        parts = [left, right, left + right, left, right, left + right]
+        rows += [(1000 * at + i, " ".join(text(40) + part + text(40))) for at, part in enumerate(parts)]
+    assert not lost_words(spark, rows)
+
+
+def test_runs_that_no_passage_covers_become_passages(spark):
+    found = spark.createDataFrame([(7, 1, 0, 60, 0, 60, 60, 55), (7, 2, 30, 90, 0, 60, 60, 60), (8, 1, 0, 500, 0, 500, 500, 500)], substring_dedup.PASSAGE)
+    runs = [(7, 3, x, x + 5) for x in (5, 10, 11, 12, 30, 40, 41)] + [(8, 3, 9, 9), (9, 3, 0, 4), (9, 4, 1, 5), (9, 3, 2, 7)]
+    got = substring_dedup.uncovered(spark.createDataFrame(runs, substring_dedup.MATCH), found).collect()
+    spans = [(7, 3, 11, 12, 5), (7, 3, 41, 41, 5), (9, 3, 0, 0, 4), (9, 4, 1, 1, 4), (9, 3, 2, 2, 5)]
+    assert {tuple(r) for r in got} == {(d, r, x, z + 50, x + o, z + 50 + o, z + 50 - x, z + 50 - x) for d, r, x, z, o in spans}
+    assert len(got) == len(spans)
