@@ -1,7 +1,10 @@
 """Forecast-bias classifier on Spark ML, trained on the forecast-deviation mart."""
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import SparkContext, TaskContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ BINNED = [f"{name}_bin" for name in NUMERIC]
 BINS = 32  # as many as Spark's trees cut a number into
 BIN_ERROR = 0.001  # of the rank of a bin's bound
 COPIES = "copies"
+DRAW_PARTS = 64  # each with a generator of its own
+TREES_AT_ONCE = 4
 SEED = 42
 SPLIT_BUCKETS = 4096
 SCORE_PLACES = 6
@@ -79,8 +84,8 @@ def stratified_split(rows, keys, label=LABEL, share=0.8, seed=SEED):
     """``is_train`` per row: the same on every run, and ``share`` of each label.
 
     Rows are hashed into buckets by key and seed. The counts per label and bucket (a few
-    thousand rows however large the data) tell up to which bucket a label's share reaches. The
-    hashed rows are written once, as both the counts and the result read them.
+    thousand rows however large the data, so they are broadcast) tell up to which bucket a label's
+    share reaches. The hashed rows are written once, as both the counts and the result read them.
     """
     bucket = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(SPLIT_BUCKETS))
     path = scratch_dir(rows.sparkSession, "hashed-rows")
@@ -97,11 +102,11 @@ def stratified_split(rows, keys, label=LABEL, share=0.8, seed=SEED):
             (F.sum("_rows").over(so_far) <= share * F.sum("_rows").over(by_label)).alias("is_train"),
         )
     )
-    return hashed.join(cuts, [label, "_bucket"]).drop("_bucket").select(*rows.columns, "is_train")
+    return hashed.join(F.broadcast(cuts), [label, "_bucket"]).drop("_bucket").select(*rows.columns, "is_train")
 
 
 def _draws_rows(classifier):
-    """Whether each tree draws its own rows, so that equal rows may not be folded."""
+    """Whether each tree draws its own rows, so that equal rows may not be folded into one weighted row."""
     return classifier.hasParam("bootstrap") and classifier.getOrDefault("bootstrap")
 
 
@@ -112,24 +117,91 @@ def folded(coded, features):
     return coded.sparkSession.read.parquet(path)
 
 
+def draw_of(tree):
+    return f"draw_{tree}"
+
+
+def drawn(coded, features, trees, share=1.0, seed=SEED):
+    """Equal rows of label and features as one row, with how often each tree draws it, written once.
+
+    A bootstrap draws every row Poisson(``share``) times for each tree, so ``n`` equal rows together
+    Poisson(``n * share``) times: these are the draws of the unfolded rows. Rows are dealt and sorted by their
+    values and each part has its own generator, so the draws do not depend on the cluster.
+    """
+    columns, draws = ["label", *features], [draw_of(tree) for tree in range(trees)]
+
+    def draw(frames):
+        import numpy as np
+
+        generator = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for frame in frames:
+            counts = generator.poisson(frame[COPIES].to_numpy()[:, None] * share, (len(frame), trees))
+            yield frame[columns].assign(**{name: counts[:, i].astype("float64") for i, name in enumerate(draws)})
+
+    counted = coded.groupBy(*columns).agg(F.count("*").alias(COPIES))
+    placed = counted.repartition(DRAW_PARTS, *columns).sortWithinPartitions(*columns)
+    path = scratch_dir(coded.sparkSession, "drawn-rows")
+    placed.mapInPandas(draw, ", ".join(f"`{name}` double" for name in [*columns, *draws])).write.parquet(path)
+    # Label and codes stay categories; bins of numbers stay numbers.
+    categories = {name: coded.schema[name].metadata for name in ("label", *CODES)}
+    rows = coded.sparkSession.read.parquet(path)
+    return rows.select(*[F.col(name).alias(name, metadata=categories.get(name, {})) for name in rows.columns])
+
+
+def fit_forest(classifier, rows):
+    """A forest of trees fitted one by one, each on the rows that it draws (:func:`drawn`)."""
+    trees, subset = classifier.getNumTrees(), classifier.getFeatureSubsetStrategy()
+    if subset == "auto":
+        subset = "all" if trees == 1 else "sqrt"  # as for the whole forest
+    alone = {
+        classifier.numTrees: 1,
+        classifier.bootstrap: False,
+        classifier.subsamplingRate: 1.0,
+        classifier.featureSubsetStrategy: subset,
+    }
+
+    def fit_tree(tree):
+        own = {classifier.weightCol: draw_of(tree), classifier.seed: classifier.getSeed() + tree}
+        return classifier.copy({**alone, **own}).fit(rows.where(F.col(draw_of(tree)) > 0))
+
+    with ThreadPool(TREES_AT_ONCE) as pool:
+        fitted = pool.map(inheritable_thread_target(rows.sparkSession)(fit_tree), range(trees))
+    return _joined(classifier, [model._java_obj for model in fitted])
+
+
+def _joined(classifier, forests):
+    """One forest of the trees of several forests of one tree."""
+    context = SparkContext._active_spark_context
+    models = context._jvm.org.apache.spark.ml.classification
+    trees = context._gateway.new_array(models.DecisionTreeClassificationModel, len(forests))
+    for i, forest in enumerate(forests):
+        trees[i] = forest.trees()[0]
+    whole = models.RandomForestClassificationModel(classifier.uid, trees, forests[0].numFeatures(), forests[0].numClasses())
+    model = classifier._copyValues(RandomForestClassificationModel(whole))
+    model._transfer_params_to_java()
+    return model
+
+
 def fit(training, classifier=None):
-    """One fitted pipeline: encoders, features, classifier and label decoder.
+    """One fitted pipeline: encoders, bins, features, classifier and label decoder.
 
-    Boosted trees pass over their rows some hundred times. They see a number only by its bin, so rows
-    of equal bins, codes and label are folded into one weighted row before the first pass; there are at
-    most as many as combinations of these. A forest draws rows for each tree and gets them unfolded.
+    Trees pass over their rows some hundred times. They see a number only by its bin, so rows of equal
+    bins, codes and label are folded into one row before the first pass; there are at most as many as
+    combinations of these. Boosted trees get their number as weight; a forest draws rows for each tree and
+    gets for each how often its copies are drawn.
     """
     classifier = classifier or boosted_trees()
     cleaned = clean(training).select(*FEATURES, LABEL)
+    coding = Pipeline(stages=[label_encoder(), category_encoder(), number_bins()]).fit(cleaned)
+    vectors, coded = assembler(BINNED), coding.transform(cleaned)
     if _draws_rows(classifier):
-        coding = Pipeline(stages=[label_encoder(), category_encoder()]).fit(cleaned)
-        vectors, rows = assembler(), coding.transform(cleaned)
+        rows = drawn(coded, BINNED + CODES, classifier.getNumTrees(), classifier.getSubsamplingRate(), classifier.getSeed())
+        model = fit_forest(classifier, vectors.transform(rows))
     else:
-        coding = Pipeline(stages=[label_encoder(), category_encoder(), number_bins()]).fit(cleaned)
-        vectors, rows = assembler(BINNED), folded(coding.transform(cleaned), BINNED + CODES)
-        classifier = classifier.copy({classifier.weightCol: COPIES})
+        rows = folded(coded, BINNED + CODES)
+        model = classifier.copy({classifier.weightCol: COPIES}).fit(vectors.transform(rows))
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=coding.stages[0].labels)
-    return PipelineModel([*coding.stages, vectors, classifier.fit(vectors.transform(rows)), decoder])
+    return PipelineModel([*coding.stages, vectors, model, decoder])
 
 
 def known_labels(model):

@@ -3,7 +3,7 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.ml.classification import OneVsRest
+from pyspark.ml.classification import OneVsRest, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from shelfline.operators.aggregates import count_matrix, quantile_cuts
@@ -104,6 +104,28 @@ def test_a_forest_draws_from_unfolded_rows(rows, monkeypatch):
     assert B.score(B.fit(rows, B.forest(num_trees=2)), rows).count() == 600
 
 
+def test_a_forest_passes_over_folded_rows_drawn_copy_by_copy(rows, monkeypatch):
+    seen, fit = [], RandomForestClassifier._fit
+
+    def spied(self, dataset):
+        seen.append(dataset.agg(F.count("*"), F.sum(self.getWeightCol())).first())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", spied)
+    many = rows.crossJoin(rows.sparkSession.range(20).select())
+    model = B.fit(many, B.forest(num_trees=6))
+    assert model.stages[-2].getNumTrees == 6 and model.stages[-2].numClasses == 3
+    assert all(count <= 600 and abs(draws - 12000) < 700 for count, draws in seen) and len(seen) == 6
+    assert len({draws for _, draws in seen}) > 1
+    assert B.accuracy(B.score(model, rows)).first().accuracy > Decimal("0.9")
+
+
+def test_draws_do_not_depend_on_the_partitions(rows):
+    labelled = rows.withColumns({"label": F.col("id") % 3 / F.lit(1.0), **{name: F.col("price") for name in B.CODES}})
+    first, again = (B.drawn(part, ["price", *B.CODES], 3) for part in (labelled, labelled.repartition(7)))
+    assert first.exceptAll(again).isEmpty() and first.count() == again.count() == 21
+
+
 def test_split_evaluates_its_rows_once(spark, rows):
     calls = spark.sparkContext.accumulator(0)
 
