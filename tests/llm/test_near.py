@@ -244,3 +244,34 @@ def test_runs_that_no_passage_covers_become_passages(spark):
     spans = [(7, 3, 11, 12, 5), (7, 3, 41, 41, 5), (9, 3, 0, 0, 4), (9, 4, 1, 1, 4), (9, 3, 2, 2, 5)]
     assert {tuple(r) for r in got} == {(d, r, x, z + 50, x + o, z + 50 + o, z + 50 - x, z + 50 - x) for d, r, x, z, o in spans}
     assert len(got) == len(spans)
+
+
+def test_straight_chains_are_aligned_together_as_one_by_one(monkeypatch):
+    rng = np.random.default_rng(5)
+    chained, expected = [], []
+    for number in range(400):
+        size, lead = int(rng.integers(60, 200)), int(rng.integers(0, substring_dedup.MARGIN + 1))
+        a = rng.integers(0, 1 << 32, size, dtype=np.uint32)
+        b = np.where(rng.random(size) < rng.choice([0, 0.05, 0.2, 0.4]), np.uint32(7), a)
+        shift = int(rng.integers(0, 20))
+        a = np.concatenate([a[:lead][::-1][:shift], a])
+        gaps = rng.integers(1, 30, int(rng.integers(1, 8)))
+        ys = min(lead, size - substring_dedup.SHORT) + np.concatenate([[0], np.cumsum(gaps)])
+        ys = ys[ys + substring_dedup.SHORT <= size]
+        xs = ys + len(a) - size
+        a, b = (words[: at[-1] + substring_dedup.SHORT + substring_dedup.MARGIN] for words, at in ((a, xs), (b, ys)))
+        begin, ref_begin = max(0, xs[0] - substring_dedup.MARGIN), max(0, ys[0] - substring_dedup.MARGIN)
+        row = xs - begin, ys - ref_begin, a[begin:], b[ref_begin:]
+        chained.append(row)
+        expected.append(substring_dedup.align(row[0].tolist(), row[1].tolist(), *row[2:]))
+    assert substring_dedup.align_straight(chained).tolist() == [list(map(int, row)) for row in expected]
+    found = [
+        (i, tuple(map(int, passage)))
+        for i, row in enumerate(chained)
+        for passage in substring_dedup.passages(row[0].tolist(), row[1].tolist(), *row[2:])
+        if passage[4] >= substring_dedup.MIN_WORDS and passage[5] >= substring_dedup.IDENTITY * passage[4]
+    ]
+    assert found and sorted((i, tuple(map(int, passage))) for i, passage in substring_dedup.passages_of(chained)) == sorted(found)
+    whole = [row for row in chained if (row[2][: len(row[3])] == row[3][: len(row[2])]).all()]
+    monkeypatch.setattr(substring_dedup, "align", None)  # these need no alignment one by one
+    assert len(list(substring_dedup.passages_of(whole))) <= len(whole)
