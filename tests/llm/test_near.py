@@ -275,3 +275,35 @@ def test_straight_chains_are_aligned_together_as_one_by_one(monkeypatch):
     whole = [row for row in chained if (row[2][: len(row[3])] == row[3][: len(row[2])]).all()]
     monkeypatch.setattr(substring_dedup, "align", None)  # these need no alignment one by one
     assert len(list(substring_dedup.passages_of(whole))) <= len(whole)
+
+
+@pytest.mark.parametrize("parts", [2, 3])
+def test_a_holder_in_between_of_a_passage_with_changed_words_counts(spark, parts):
+    """All but one part of a passage are held by earlier and later documents than the one that holds it whole."""
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    rows, whole = [], {}
+    for i in range(20):
+        size = 17 + i % 2 if parts == 3 else 28 + i % 15
+        passage = [text(size) for _ in range(parts)]
+        pieces = [sum((text(size) if n == out else part for n, part in enumerate(passage)), []) for out in range(parts)]
+        passage = sum(passage, [])
+        texts = [*pieces, passage, *pieces, changed(rng, passage, 8)]
+        rows += [(1000 * at + i, " ".join(text(40) + words + text(40))) for at, words in enumerate(texts)]
+        whole[1000 * (len(texts) - 1) + i] = (1000 * parts + i, len(passage))
+    found = {}
+    for r in substring_dedup.repeated_passages(cases.documents(spark, rows)).collect():
+        assert r.n_words >= 50 and r.n_equal >= 0.8 * r.n_words
+        found.setdefault((r.doc_id, r.ref_id), set()).update(range(r.start, r.stop))
+    covered = [len(found.get((doc, ref), set()) & set(range(40, 40 + size))) >= 0.8 * size for doc, (ref, size) in whole.items()]
+    assert sum(covered) >= 0.9 * len(covered)
+
+
+def test_a_chain_is_refilled_across_a_shift():
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 1 << 32, 150, dtype=np.uint32)
+    b = np.concatenate([a[:60], rng.integers(0, 1 << 32, 3, dtype=np.uint32), a[60:]])
+    chains = substring_dedup.refilled(np.array([10, 30]), np.array([10, 30]), a, b)
+    found = [passage for _, passage in substring_dedup.passages_of(chains)]
+    assert [tuple(map(int, passage)) for passage in found] == [(0, 150, 0, 153, 153, 150)]
+    assert substring_dedup.refilled(np.array([10]), np.array([10]), a, b[:3]) == []
